@@ -231,10 +231,30 @@ def _write_postings(rows: DataFrame, path: str) -> None:
     )
 
 
-def write_oa_postings(spark: SparkSession, sf_dir: str, path: str) -> None:
+def monthly(oa: DataFrame) -> DataFrame:
+    """Point rows with every gas day set to the first of its month, to have fewer slices."""
+    return oa.withColumn("Eff_Gas_Day", F.expr(
+        "concat(substring(Eff_Gas_Day, 1, 3), if(Eff_Gas_Day RLIKE '^[0-9]', '01', 'xx'), substring(Eff_Gas_Day, 6))"
+    ))
+
+
+def nn_monthly(nn: DataFrame) -> DataFrame:
+    return nn.withColumn("Effective_From_DateTime", F.expr(
+        "concat(substring(Effective_From_DateTime, 1, 3), '01', substring(Effective_From_DateTime, 6))"
+    ))
+
+
+def posted(raw: DataFrame, dataset: str, day: str) -> DataFrame:
+    """Rows with the name of the posting they could come from."""
+    return raw.withColumn("PostingFile", F.expr(
+        f"concat(PipeCode, '_{dataset}_', {day}, '01_INTRDY.csv')"
+    ))
+
+
+def write_oa_postings(rows: DataFrame, path: str) -> None:
     """OA files by pipe and year; the files of odd years have other columns in another order."""
     rows = (
-        oa_raw(spark, sf_dir)
+        rows
         .withColumn("posted_year", F.substring("Post_Date", 7, 4).cast("int"))
         .withColumn("posting", F.expr(_OA_FILE))
         .drop("PipeCode")
@@ -248,8 +268,8 @@ def write_oa_postings(spark: SparkSession, sf_dir: str, path: str) -> None:
     _write_postings(odd, path)
 
 
-def write_nn_postings(spark: SparkSession, sf_dir: str, path: str) -> None:
-    rows = nn_raw(spark, sf_dir).withColumn(
+def write_nn_postings(rows: DataFrame, path: str) -> None:
+    rows = rows.withColumn(
         "posting",
         F.expr("concat(PipeCode, '_NN_', substring(Effective_From_DateTime, 7, 4), '.csv')"),
     )
@@ -267,9 +287,15 @@ def sg_posted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_sg_postings(spark: SparkSession, sf_dir: str, path: str) -> None:
+def write_meta_postings(rows: DataFrame, path: str) -> None:
+    _write_postings(
+        rows.withColumn("posting", F.concat("PipeCode", F.lit("_AllPoints.csv"))).drop("PipeCode"), path
+    )
+
+
+def write_sg_postings(rows: DataFrame, path: str) -> None:
     """SG files by pipe, segment and year: the head line, the names, then the rows."""
-    rows = sg_posted(spark, sf_dir).withColumn(
+    rows = rows.withColumn(
         "posting",
         F.expr("""concat(PipeCode, '_SG_Line_', segment, '_', date_format(EffGasDate, 'yyyyMMdd'),
                          '_INTRDY.csv')"""),
