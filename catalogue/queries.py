@@ -22,11 +22,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def point_keys(spark: SparkSession, sf: str) -> DataFrame:
     rows = t.oa_raw(spark, sf).join(t.pipe_entities(spark, sf), "PipeCode")
-    key = L.gf_loc_id(L.pipe_id(F.col("GFPipeID")), F.col("Loc"))
+    location = L.strip(F.col("Loc"))
+    key = L.gf_loc_id(L.pipe_id(F.col("GFPipeID")), location)
     return rows.select(
         "PipeCode",
-        L.strip(F.col("Loc")).alias("Loc"),
-        L.loc_id(F.col("Loc")).alias("LocID"),
+        location.alias("Loc"),
+        L.loc_id(location).alias("LocID"),
         key.alias("GFLocID"),
         L.pipe_of_gf_loc_id(key).alias("PipeOfKey"),
         L.signed(F.concat(F.lit("-"), F.col("Loc"))).alias("Signed"),

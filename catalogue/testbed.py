@@ -34,8 +34,14 @@ def pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that comes in fewer splits than there are cores, over all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    lineitem, supplier = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "supplier")
     return lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
 
 
@@ -76,7 +82,7 @@ def oa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No-notice activity: an allocation per order."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders, customer = spread(table(spark, sf_dir, "orders")), table(spark, sf_dir, "customer")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
         "date_format(o_orderdate, 'MM/dd/yyyy HH:mm') AS Effective_From_DateTime",
         "concat(c_custkey, ' ') AS Loc_Prop",

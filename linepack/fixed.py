@@ -45,6 +45,12 @@ NULL_MARKS = [
     "nan", "null",
 ]
 
+# Characters that count as white space (the Unicode property) ----
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Landing folders and how much of yyyyMMdd names the period ----
 BRONZE_FOLDER = {
     OA: "PointCapacity",

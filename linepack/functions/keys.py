@@ -14,11 +14,12 @@ def pipe_id(number: Column) -> Column:
 
 
 def loc_id(location: Column) -> Column:
-    return zfill(strip(location), fixed.LOC_ID_WIDTH)
+    """A stripped location number in seven characters or more."""
+    return zfill(location, fixed.LOC_ID_WIDTH)
 
 
 def gf_loc_id(pipe: Column, location: Column) -> Column:
-    """Pipe id and location id side by side; null if either is missing."""
+    """Pipe id and id of a stripped location side by side; null if either is missing."""
     return F.concat(pipe, loc_id(location))
 
 
@@ -35,4 +36,4 @@ def gf_number(sequence: Column) -> Column:
 
 def signed(location: Column) -> Column:
     """A location number with a sign in front cannot be a location number."""
-    return strip(location).rlike(r"^[+-]")
+    return F.substring(strip(location), 1, 1).isin("+", "-")

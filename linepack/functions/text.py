@@ -9,8 +9,8 @@ from .. import fixed
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind at both ends (``trim`` knows blanks only)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Remove white space of every kind at both ends (plain ``trim`` knows blanks only)."""
+    return F.btrim(text, F.lit(fixed.WHITE_SPACE))
 
 
 def zfill(text: Column, width: int) -> Column:

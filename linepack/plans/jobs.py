@@ -22,7 +22,6 @@ from ..operators import (
     gold_oa,
     gold_sg,
     keyed,
-    merge_gold,
     meta_enrichment,
     missing_downloads,
     new_location_counts,
@@ -43,10 +42,11 @@ from ..operators.silver import LOCATION_COLUMN
 from ..schemas import REJECTS, STORED_LOCATIONS
 from ..shared import materialise
 from ..sinks import (
+    merge_slices,
     read_bronze,
+    read_bronze_run,
     read_silver,
     read_version,
-    replace_slices,
     write_bronze,
     write_silver,
     write_version,
@@ -85,7 +85,9 @@ def land(
         raw = READERS.get(dataset, read_meta)(spark, paths)
         if raw is not None:
             write_bronze(raw, tables.bronze, dataset, run)
-            landed[dataset] = read_bronze(spark, tables.bronze, dataset, run)
+            rows = read_bronze_run(spark, tables.bronze, dataset, run)
+            if rows is not None:
+                landed[dataset] = rows
     return landed
 
 
@@ -97,6 +99,7 @@ def to_silver(raw: DataFrame, pipes: DataFrame, dataset: str) -> DataFrame:
 
 
 def to_gold(silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime) -> DataFrame:
+    """Stamped facts of all datasets; ``merge_slices`` makes them distinct while it writes."""
     facts = []
     if fixed.OA in silver:
         facts.append(gold_oa(silver[fixed.OA]))
@@ -104,7 +107,7 @@ def to_gold(silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime
         facts.append(gold_nn(silver[fixed.NN]))
     if fixed.SG in silver:
         facts.append(gold_sg(silver[fixed.SG], locations))
-    return merge_gold(*facts, run_ts=run_ts)
+    return union_by_name(*facts).withColumn("Timestamp", F.lit(run_ts).cast("timestamp_ntz"))
 
 
 def current_locations(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -210,9 +213,9 @@ def run_range(
     gold = to_gold(silver, locations, run_ts)
     if keep_run_gold:
         where = f"{tables.gold_runs}/run={run}"
-        gold.write.mode("overwrite").parquet(where)
+        gold.distinct().write.mode("overwrite").parquet(where)
         gold = spark.read.schema(gold.schema).parquet(where)
-    replace_slices(gold, tables.gold)
+    merge_slices(gold, tables.gold)
 
     _write_run(run_rejects(raw, silver, of_parent, locations), tables.rejects, run)
     _audit(raw, silver, found, tables, run, availability)
@@ -279,4 +282,4 @@ def rebuild_slices(
         )
         silver[dataset] = to_silver(rows, pipes, dataset)
     if silver:
-        replace_slices(to_gold(silver, locations, run_ts), tables.gold)
+        merge_slices(to_gold(silver, locations, run_ts), tables.gold)

@@ -44,6 +44,22 @@ SG_SILVER = T.StructType([
 ])
 SILVER = {fixed.OA: OA_SILVER, fixed.NN: NN_SILVER, fixed.SG: SG_SILVER}
 
+_LANDED = [
+    T.StructField("PipeCode", T.StringType()),
+    T.StructField("PostingFile", T.StringType()),
+    T.StructField("GasDay", T.DateType()),
+]
+BRONZE = {
+    fixed.OA: T.StructType(texts(fixed.OA_RAW).fields + _LANDED),
+    fixed.NN: T.StructType(texts(fixed.NN_RAW).fields + _LANDED),
+    fixed.SG: T.StructType([
+        *texts(fixed.SG_RAW).fields,
+        T.StructField("EffGasDate", T.DateType()),
+        T.StructField("CycleDesc", T.StringType()),
+        *_LANDED,
+    ]),
+}
+
 FAILURE_LOG = texts(["pipecode", "type", "scrape_date"])
 
 REJECTS = T.StructType([

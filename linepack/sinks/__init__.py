@@ -1,12 +1,19 @@
 """Sinks: bronze, silver, gold and versioned reference tables."""
 
-from .bronze import bronze_location, bronze_period, read_bronze, write_bronze
-from .gold import cluster_months, gold_exists, read_gold, replace_slices, touched_slices
+from .bronze import bronze_location, bronze_period, read_bronze, read_bronze_run, write_bronze
+from .gold import (
+    cluster_months,
+    gold_exists,
+    merge_slices,
+    read_gold,
+    replace_slices,
+    touched_slices,
+)
 from .silver import read_silver, write_silver
 from .versions import read_version, write_version
 
 __all__ = [
-    "bronze_location", "bronze_period", "cluster_months", "gold_exists", "read_bronze",
-    "read_gold", "read_silver", "read_version", "replace_slices", "touched_slices",
+    "bronze_location", "bronze_period", "cluster_months", "gold_exists", "merge_slices",
+    "read_bronze", "read_bronze_run", "read_gold", "read_silver", "read_version", "replace_slices", "touched_slices",
     "write_bronze", "write_silver", "write_version",
 ]
