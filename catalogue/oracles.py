@@ -212,8 +212,8 @@ nn_monthly AS (
                     AS Effective_From_DateTime)
   FROM nn_raw
 ),
-sg_yearly AS (
-  SELECT "Station Name", Cap, Nom, Cap2, CAST(date_trunc('year', day) AS DATE) AS EffGasDate,
+sg_blocks AS (
+  SELECT "Station Name", Cap, Nom, Cap2, make_date(1995 + 4 * ((year(day) - 1995) // 4), 1, 1) AS EffGasDate,
          CASE WHEN l_suppkey % 2 = 0 THEN 'Timely' ELSE 'Evening' END AS CycleDesc, PipeCode
   FROM sg_all
 )"""
@@ -262,7 +262,7 @@ def _with(*parts: str, select: str) -> str:
 
 
 def _monthly_gold() -> list[str]:
-    return [_BASE, _MONTHLY, _silver("oa_monthly", "nn_monthly", "sg_yearly"), _META, _NEW_STATIONS]
+    return [_BASE, _MONTHLY, _silver("oa_monthly", "nn_monthly", "sg_blocks"), _META, _NEW_STATIONS]
 
 
 _ALL_LOCATIONS = """
@@ -351,16 +351,15 @@ ORACLES: dict[str, str] = {
                     ELSE strftime(o_orderdate + INTERVAL 1500 MILLISECOND, '%Y-%m-%dT%H:%M:%S.%f') END AS UpdatedTime
         FROM orders""",
     "read_points": _with(_BASE, select="""
-        SELECT *, CASE WHEN CAST(y AS INTEGER) % 2 = 1 THEN 'late, "noted"' END AS Remark,
+        SELECT * EXCLUDE (y), CASE WHEN y = '1999' THEN 'late, "noted"' END AS Remark,
                PipeCode || '_OA_' || y || '0101_INTRDY_' || y || '-01-01_0800.csv' AS PostingFile
-        FROM (SELECT *, substring(Post_Date, 7, 4) AS y FROM oa_raw)""").replace(
-            "SELECT *, CASE WHEN CAST(y", "SELECT * EXCLUDE (y), CASE WHEN CAST(y"),
+        FROM (SELECT *, CAST(1995 + 4 * ((CAST(substring(Post_Date, 7, 4) AS INTEGER) - 1995) // 4) AS VARCHAR) AS y
+              FROM oa_raw)"""),
     "read_segments": _with(_BASE, select="""
-        SELECT "Station Name", Cap, Nom, Cap2, CAST(date_trunc('year', day) AS DATE) AS EffGasDate,
+        SELECT "Station Name", Cap, Nom, Cap2, make_date(y, 1, 1) AS EffGasDate,
                CASE WHEN l_suppkey % 2 = 0 THEN 'Timely' ELSE 'Evening' END AS CycleDesc, PipeCode,
-               PipeCode || '_SG_Line_' || (l_suppkey % 2) || '_' || strftime(day, '%Y') || '0101_INTRDY.csv'
-                   AS PostingFile
-        FROM sg_all"""),
+               PipeCode || '_SG_Line_' || (l_suppkey % 2) || '_' || y || '0101_INTRDY.csv' AS PostingFile
+        FROM (SELECT *, 1995 + 4 * ((year(day) - 1995) // 4) AS y FROM sg_all)"""),
     "oa_silver": _with(_BASE, _silver(), select="SELECT * FROM oa_silver"),
     "nn_silver": _with(_BASE, _silver(), select="SELECT * FROM nn_silver"),
     "sg_silver": _with(_BASE, _silver(), select="SELECT * FROM sg_silver"),
@@ -487,7 +486,7 @@ ORACLES: dict[str, str] = {
                CAST(date AS DATE) AS scrape_date
         FROM results WHERE NOT success"""),
     "run_range": _run(""),
-    "run_day": _run("WHERE GasDay = DATE '1998-01-01'"),
+    "run_day": _run("WHERE GasDay = DATE '1999-01-01'"),
     "stream_ingest": _run(""),
 }
 

@@ -437,7 +437,7 @@ def run_range(spark: SparkSession, sf: str) -> DataFrame:
 def run_day(spark: SparkSession, sf: str) -> DataFrame:
     pipes, tables = _installation(spark, sf)
     plans.run_day(
-        spark, _landing(spark, sf), pipes, tables, date(1998, 1, 1), t.RUN_TS, "Network",
+        spark, _landing(spark, sf), pipes, tables, date(1999, 1, 1), t.RUN_TS, "Network",
         keep_run_gold=True,
     )
     return sinks.read_gold(spark, tables.gold)
@@ -447,7 +447,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     pipes, tables = _installation(spark, sf)
     streaming.ingest(
         spark, _landing(spark, sf), pipes, tables, "Network", new_folder(spark, "stream"),
-        run_ts=t.RUN_TS, files_per_batch=200,
+        run_ts=t.RUN_TS, files_per_batch=100,
     )
     return sinks.read_gold(spark, tables.gold)
 

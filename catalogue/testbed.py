@@ -219,6 +219,11 @@ def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Postings as files ------------------------------------------------------------
 
+def _block(year: str) -> str:
+    """First year of the block of four years that a year belongs to."""
+    return f"CAST(1995 + 4 * ((CAST({year} AS int) - 1995) DIV 4) AS int)"
+
+
 _OA_FILE = """concat(PipeCode, '_OA_', CAST(posted_year AS string), '0101_INTRDY_',
     CAST(posted_year AS string), '-01-01_0800.csv')"""
 
@@ -258,26 +263,25 @@ def posted(raw: DataFrame, dataset: str, day: str) -> DataFrame:
 
 
 def write_oa_postings(rows: DataFrame, path: str) -> None:
-    """OA files by pipe and year; the files of odd years have other columns in another order."""
+    """OA files by pipe and four years; later files have other columns in another order."""
     rows = (
-        rows
-        .withColumn("posted_year", F.substring("Post_Date", 7, 4).cast("int"))
+        rows.withColumn("posted_year", F.expr(f"{_block('substring(Post_Date, 7, 4)')}"))
         .withColumn("posting", F.expr(_OA_FILE))
         .drop("PipeCode")
     )
-    even = rows.where("posted_year % 2 = 0").drop("posted_year")
-    turned = list(reversed([c for c in even.columns if c != "posting"]))
-    odd = rows.where("posted_year % 2 = 1").select(
+    early = rows.where("posted_year < 1999").drop("posted_year")
+    turned = list(reversed([c for c in early.columns if c != "posting"]))
+    late = rows.where("posted_year >= 1999").select(
         *turned[:3], F.lit("late, \"noted\"").alias("Remark"), *turned[3:], "posting"
     )
-    _write_postings(even, path)
-    _write_postings(odd, path)
+    _write_postings(early, path)
+    _write_postings(late, path)
 
 
 def write_nn_postings(rows: DataFrame, path: str) -> None:
     rows = rows.withColumn(
         "posting",
-        F.expr("concat(PipeCode, '_NN_', substring(Effective_From_DateTime, 7, 4), '.csv')"),
+        F.expr(f"concat(PipeCode, '_NN_', {_block('substring(Effective_From_DateTime, 7, 4)')}, '.csv')"),
     )
     _write_postings(rows.drop("PipeCode"), path)
 
@@ -286,7 +290,7 @@ def sg_posted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment rows as a file holds them: the day and cycle of the file for all its rows."""
     return shipped(spark, sf_dir).selectExpr(
         *_SG_COLUMNS,
-        "CAST(date_trunc('year', l_shipdate) AS date) AS EffGasDate",
+        f"make_date({_block('year(l_shipdate)')}, 1, 1) AS EffGasDate",
         "CASE WHEN l_suppkey % 2 = 0 THEN 'Timely' ELSE 'Evening' END AS CycleDesc",
         _SG_PIPE,
         "l_suppkey % 2 AS segment",
@@ -300,7 +304,7 @@ def write_meta_postings(rows: DataFrame, path: str) -> None:
 
 
 def write_sg_postings(rows: DataFrame, path: str) -> None:
-    """SG files by pipe, segment and year: the head line, the names, then the rows."""
+    """SG files by pipe, segment and four years: the head line, the names, then the rows."""
     rows = rows.withColumn(
         "posting",
         F.expr("""concat(PipeCode, '_SG_Line_', segment, '_', date_format(EffGasDate, 'yyyyMMdd'),

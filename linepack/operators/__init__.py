@@ -1,6 +1,7 @@
 """Operators from DataFrame to DataFrame."""
 
 from .audit import (
+    Reports,
     dataset_detail,
     failures,
     file_counts,
@@ -8,6 +9,7 @@ from .audit import (
     new_location_counts,
     pipe_changes,
     raw_counts,
+    reports,
     run_summary,
     silver_counts,
 )
@@ -42,6 +44,7 @@ from .silver import pipes_of, point_silver, segment_silver
 from .validate import rejected, valid, validate_pipes, validate_results
 
 __all__ = [
+    "Reports", "reports",
     "all_rejects", "all_text", "alphanumeric_names", "conform", "daily_range",
     "dataset_detail", "drop_all_null", "existing_numbers", "expand_days", "failures",
     "file_counts", "gold_nn", "gold_oa", "gold_sg", "historic_range", "keyed",

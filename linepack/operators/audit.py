@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,3 +130,34 @@ def missing_downloads(availability: DataFrame, delivered: DataFrame) -> DataFram
     )
     units = delivered.select("pipe_code", "dataset_type").distinct()
     return expected.join(units, ["pipe_code", "dataset_type"], "left_anti")
+
+
+class Reports(NamedTuple):
+    """The five tables of an audit report."""
+
+    summary: DataFrame
+    failures: DataFrame
+    details: DataFrame
+    missing: DataFrame
+    changes: DataFrame
+
+
+def reports(
+    results: DataFrame,
+    runs: DataFrame,
+    details: DataFrame,
+    availability: DataFrame,
+    live: DataFrame,
+    configured: DataFrame,
+) -> Reports:
+    """Run summary, failures, details per dataset, missing deliveries and pipe changes.
+
+    A unit counts as delivered when ``details`` has rows of it.
+    """
+    return Reports(
+        summary=run_summary(results, runs),
+        failures=failures(results),
+        details=details,
+        missing=missing_downloads(availability, details.where(F.col("raw_records") > 0)),
+        changes=pipe_changes(live, configured),
+    )

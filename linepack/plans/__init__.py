@@ -1,9 +1,18 @@
 """Whole runs made of the operators."""
 
-from .jobs import Tables, discover_locations, land, rebuild_slices, run_day, run_range
+from .jobs import (
+    Tables,
+    discover_locations,
+    land,
+    rebuild_slices,
+    run_daily,
+    run_day,
+    run_historic,
+    run_range,
+)
 from .replay import failed_worklist, replay_failed
 
 __all__ = [
     "Tables", "discover_locations", "failed_worklist", "land", "rebuild_slices",
-    "replay_failed", "run_day", "run_range",
+    "replay_failed", "run_daily", "run_day", "run_historic", "run_range",
 ]

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..operators import (
     conform,
+    daily_range,
     dataset_detail,
     gold_nn,
     gold_oa,
     gold_sg,
+    historic_range,
     keyed,
     meta_enrichment,
     missing_downloads,
@@ -256,6 +258,34 @@ def run_day(
     )
 
 
+def run_daily(
+    spark: SparkSession,
+    landing: dict[str, str | list[str]],
+    pipes: DataFrame,
+    tables: Tables,
+    run_ts: datetime,
+    parent: str,
+    **options,
+) -> None:
+    """``run_range`` over yesterday and the run's own day."""
+    run_range(spark, landing, pipes, tables, *daily_range(run_ts.date()), run_ts, parent, **options)
+
+
+def run_historic(
+    spark: SparkSession,
+    landing: dict[str, str | list[str]],
+    pipes: DataFrame,
+    tables: Tables,
+    run_ts: datetime,
+    parent: str,
+    **options,
+) -> None:
+    """``run_range`` over the year whose postings have become final, as one job."""
+    run_range(
+        spark, landing, pipes, tables, *historic_range(run_ts.date()), run_ts, parent, **options
+    )
+
+
 def rebuild_slices(
     spark: SparkSession,
     touched: dict[str, DataFrame],
@@ -267,18 +297,20 @@ def rebuild_slices(
 
     ``touched`` holds the gas days per dataset. The span of the days is a plain
     filter, which skips files by their statistics; the days themselves are a
-    semi join.
+    semi join with a table written beforehand, which Spark knows to be small
+    and broadcasts, so the rows are not shuffled by day.
     """
     locations = current_locations(spark, tables)
     silver = {}
-    for dataset, days in touched.items():
+    for dataset, some_days in touched.items():
+        days = materialise(some_days.select("GasDay").distinct(), "days")
         span = days.agg(F.min("GasDay").alias("first"), F.max("GasDay").alias("last")).first()
         if span["first"] is None:
             continue
         rows = (
             read_bronze(spark, tables.bronze, dataset)
             .where(F.col("GasDay").between(F.lit(span["first"]), F.lit(span["last"])))
-            .join(days.select("GasDay").distinct(), "GasDay", "left_semi")
+            .join(days, "GasDay", "left_semi")
         )
         silver[dataset] = to_silver(rows, pipes, dataset)
     if silver:
