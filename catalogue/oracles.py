@@ -352,13 +352,13 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "read_points": _with(_BASE, select="""
         SELECT * EXCLUDE (y), CASE WHEN y = '1999' THEN 'late, "noted"' END AS Remark,
-               PipeCode || '_OA_' || y || '0101_INTRDY_' || y || '-01-01_0800.csv' AS PostingFile
+               PipeCode || '_OA_' || y || '0101_INTRDY_' || y || '-01-01_0800.csv' AS PostingFile, false AS TooWide
         FROM (SELECT *, CAST(1995 + 4 * ((CAST(substring(Post_Date, 7, 4) AS INTEGER) - 1995) // 4) AS VARCHAR) AS y
               FROM oa_raw)"""),
     "read_segments": _with(_BASE, select="""
         SELECT "Station Name", Cap, Nom, Cap2, make_date(y, 1, 1) AS EffGasDate,
                CASE WHEN l_suppkey % 2 = 0 THEN 'Timely' ELSE 'Evening' END AS CycleDesc, PipeCode,
-               PipeCode || '_SG_Line_' || (l_suppkey % 2) || '_' || y || '0101_INTRDY.csv' AS PostingFile
+               PipeCode || '_SG_Line_' || (l_suppkey % 2) || '_' || y || '0101_INTRDY.csv' AS PostingFile, false AS TooWide
         FROM (SELECT *, 1995 + 4 * ((year(day) - 1995) // 4) AS y FROM sg_all)"""),
     "oa_silver": _with(_BASE, _silver(), select="SELECT * FROM oa_silver"),
     "nn_silver": _with(_BASE, _silver(), select="SELECT * FROM nn_silver"),

@@ -9,7 +9,7 @@ from .. import fixed
 from ..functions import gf_loc_id, number, signed, strip
 
 LOCATION_COLUMN = {fixed.OA: "Loc", fixed.NN: "Loc_Prop"}
-_LANDING_COLUMNS = ["PipeCode", "PostingFile"]
+_LANDING_COLUMNS = ["PipeCode", "PostingFile", "TooWide"]
 
 
 def pipes_of(pipes: DataFrame, parent: str | None = None) -> DataFrame:
@@ -18,6 +18,11 @@ def pipes_of(pipes: DataFrame, parent: str | None = None) -> DataFrame:
     return chosen.select("GFPipeID", "PipeCode", "PipeName")
 
 
+def well_formed(raw: DataFrame) -> DataFrame:
+    """Rows with as many fields as their header has names, where the source says so."""
+    return raw.where(~F.coalesce("TooWide", F.lit(False))) if "TooWide" in raw.columns else raw
+
+
 def point_silver(raw: DataFrame, pipes: DataFrame, loc_col: str) -> DataFrame:
     """OA (``Loc``) or NN (``Loc_Prop``) rows with ``GFLocID`` and ``PipeName``.
 
@@ -27,7 +32,8 @@ def point_silver(raw: DataFrame, pipes: DataFrame, loc_col: str) -> DataFrame:
     distinct, which combines equal rows before it does.
     """
     return (
-        raw.where(~F.coalesce(signed(F.col(loc_col)), F.lit(False)))
+        well_formed(raw)
+        .where(~F.coalesce(signed(F.col(loc_col)), F.lit(False)))
         .join(pipes_of(pipes), "PipeCode", "inner")
         .withColumn(loc_col, strip(F.col(loc_col)))
         .withColumn("GFLocID", gf_loc_id(F.col("GFPipeID"), F.col(loc_col)))
@@ -45,7 +51,8 @@ def measure(df: DataFrame, name: str) -> Column:
 def segment_silver(raw: DataFrame, pipes: DataFrame) -> DataFrame:
     """SG rows with ``GFPipeID`` in place of the pipe's code."""
     return (
-        raw.join(pipes_of(pipes), "PipeCode", "inner")
+        well_formed(raw)
+        .join(pipes_of(pipes), "PipeCode", "inner")
         .withColumns({name: measure(raw, name) for name in ["Cap", "Nom", "Cap2"]})
         .drop("PipeName", *_LANDING_COLUMNS)
         .distinct()

@@ -7,7 +7,6 @@ what it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -19,6 +18,7 @@ from ..operators import (
     conform,
     daily_range,
     dataset_detail,
+    file_counts,
     gold_nn,
     gold_oa,
     gold_sg,
@@ -53,14 +53,13 @@ from ..sinks import (
     write_silver,
     write_version,
 )
-from ..sources import read_meta, read_points, read_segments
-
-READERS: dict[str, Callable[[SparkSession, str], DataFrame | None]] = {
-    fixed.OA: read_points,
-    fixed.NN: read_points,
-    fixed.SG: read_segments,
-}
-
+from ..sources import (
+    append_failures,
+    inspect_segments,
+    read_points,
+    read_segments,
+    unreadable_segments,
+)
 
 @dataclass(frozen=True)
 class Tables:
@@ -81,10 +80,18 @@ def run_name(run_ts: datetime) -> str:
 def land(
     spark: SparkSession, landing: dict[str, str | list[str]], tables: Tables, run: str
 ) -> dict[str, DataFrame]:
-    """Read the posted files once, write them to bronze and go on from there."""
+    """Read the posted files, write them to bronze and go on from there.
+
+    Segment files that cannot be read are listed in the audit tables.
+    """
     landed = {}
     for dataset, paths in landing.items():
-        raw = READERS.get(dataset, read_meta)(spark, paths)
+        if dataset == fixed.SG:
+            files = inspect_segments(spark, paths)
+            raw = read_segments(spark, paths, files)
+            write_run(unreadable_segments(spark, paths, files), f"{tables.audit}/unreadable", run)
+        else:
+            raw = read_points(spark, paths)
         if raw is not None:
             write_bronze(raw, tables.bronze, dataset, run)
             rows = read_bronze_run(spark, tables.bronze, dataset, run)
@@ -159,7 +166,7 @@ def run_rejects(
     return conform(union_by_name(*parts), REJECTS)
 
 
-def _write_run(df: DataFrame, path: str, run: str) -> None:
+def write_run(df: DataFrame, path: str, run: str) -> None:
     (
         df.withColumn("run", F.lit(run))
         .write.mode("overwrite")
@@ -187,11 +194,14 @@ def run_range(
     availability: DataFrame | None = None,
     target_day: date | None = None,
     keep_run_gold: bool = False,
+    failure_log: str | None = None,
 ) -> None:
     """Process the posted files of the gas days [start, end] and replace their slices.
 
     ``landing`` names the folder (or files) of each dataset. ``keep_run_gold``
-    also keeps the run's gold rows as a table of their own.
+    also keeps the run's gold rows as a table of their own. With ``availability``
+    the datasets that were not delivered are listed, and of a run over one day
+    also added to ``failure_log``.
     """
     if end > run_ts.date():
         raise ValueError(f"{end} is in the future of the run at {run_ts}")
@@ -219,8 +229,20 @@ def run_range(
         gold = spark.read.schema(gold.schema).parquet(where)
     merge_slices(gold, tables.gold)
 
-    _write_run(run_rejects(raw, silver, of_parent, locations), tables.rejects, run)
-    _audit(raw, silver, found, tables, run, availability)
+    write_run(run_rejects(raw, silver, of_parent, locations), tables.rejects, run)
+    posted = _audit(raw, silver, found, tables, run)
+    if availability is not None:
+        missing = missing_downloads(availability, posted)
+        write_run(missing, f"{tables.audit}/missing", run)
+        if failure_log is not None and target_day is not None:
+            append_failures(
+                missing.select(
+                    F.col("pipe_code").alias("pipecode"),
+                    F.col("dataset_type").alias("type"),
+                    F.lit(target_day).alias("scrape_date"),
+                ),
+                failure_log,
+            )
 
 
 def _audit(
@@ -229,17 +251,21 @@ def _audit(
     found: dict[str, DataFrame],
     tables: Tables,
     run: str,
-    availability: DataFrame | None,
-) -> None:
+) -> DataFrame:
+    """Write the audit tables of a run; returns its counts per dataset and pipe."""
+    files = [
+        file_counts(rows, "PipeCode", "PostingFile").withColumn("Dataset", F.lit(dataset))
+        for dataset, rows in raw.items()
+    ]
+    write_run(union_by_name(*files), f"{tables.audit}/raw_files", run)
     posted = union_by_name(*[raw_counts(rows, dataset) for dataset, rows in raw.items()])
     written = union_by_name(*[
         silver_counts(rows.withColumn("Dataset", F.lit(dataset)))
         for dataset, rows in silver.items()
     ])
     detail = dataset_detail(posted, written, new_location_counts(found))
-    _write_run(detail, f"{tables.audit}/dataset_detail", run)
-    if availability is not None:
-        _write_run(missing_downloads(availability, posted), f"{tables.audit}/missing", run)
+    write_run(detail, f"{tables.audit}/dataset_detail", run)
+    return posted
 
 
 def run_day(

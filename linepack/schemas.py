@@ -47,6 +47,7 @@ SILVER = {fixed.OA: OA_SILVER, fixed.NN: NN_SILVER, fixed.SG: SG_SILVER}
 _LANDED = [
     T.StructField("PipeCode", T.StringType()),
     T.StructField("PostingFile", T.StringType()),
+    T.StructField("TooWide", T.BooleanType()),
     T.StructField("GasDay", T.DateType()),
 ]
 BRONZE = {

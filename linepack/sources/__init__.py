@@ -2,19 +2,18 @@
 
 from .failures import append_failures, failed_units, read_failures
 from .postings import (
-    posting_sizes,
+    SegmentFiles,
+    inspect_segments,
     profile,
     read_meta,
     read_points,
     read_segments,
-    segment_heads,
     unreadable_segments,
-    wide_rows,
 )
 from .references import loc_reference, pipe_reference, stored_meta
 
 __all__ = [
-    "append_failures", "failed_units", "loc_reference", "pipe_reference", "posting_sizes",
-    "profile", "read_failures", "read_meta", "read_points", "read_segments",
-    "segment_heads", "stored_meta", "unreadable_segments", "wide_rows",
+    "SegmentFiles", "append_failures", "failed_units", "inspect_segments", "loc_reference",
+    "pipe_reference", "profile", "read_failures", "read_meta", "read_points", "read_segments",
+    "stored_meta", "unreadable_segments",
 ]

@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from linepack import plans, sinks, streaming
+from linepack import plans, sinks, sources, streaming
 from linepack.fixed import OA_RAW
 from linepack.operators import conform
 from linepack.schemas import FACT, STORED_LOCATIONS, texts
@@ -147,7 +147,14 @@ def test_run_day_and_run_range(spark, tmp_path, pipes):
         [(("One (P1)", "One", "P1"), True, True, True, True)],
         "pipe struct<label string, name string, code string>, has_OA boolean, has_SG boolean, has_NN boolean, has_MetaData boolean",
     )
-    plans.run_day(spark, posted, pipes, tables, day, RUN_TS, "Parent", availability=availability, keep_run_gold=True)
+    log = new_folder(spark, "log")
+    plans.run_day(spark, posted, pipes, tables, day, RUN_TS, "Parent", availability=availability,
+                  keep_run_gold=True, failure_log=log)
+    assert [tuple(r) for r in sources.read_failures(spark, log).collect()] == [("P1", "META", day)]
+    files = spark.read.parquet(f"{tables.audit}/raw_files").collect()
+    assert sorted((r.Dataset, r.PipeCode, r.records) for r in files) == [
+        ("NN", "P1", 1), ("OA", "P1", 3), ("OA", "P2", 1), ("SG", "P1", 1),
+    ]
     assert gold_rows(spark, tables, day) == WANT_DAY
     assert sinks.read_gold(spark, tables.gold).where(F.col("GasDay") != day).count() == 0
     assert spark.read.parquet(tables.gold_runs).count() == 4
