@@ -67,10 +67,33 @@ class Tables:
 
     root: str
 
-    def __getattr__(self, name: str) -> str:
-        if name in ("bronze", "silver", "gold", "gold_runs", "locations", "rejects", "audit"):
-            return f"{self.root}/{name}"
-        raise AttributeError(name)
+    @property
+    def bronze(self) -> str:
+        return f"{self.root}/bronze"
+
+    @property
+    def silver(self) -> str:
+        return f"{self.root}/silver"
+
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
+
+    @property
+    def gold_runs(self) -> str:
+        return f"{self.root}/gold_runs"
+
+    @property
+    def locations(self) -> str:
+        return f"{self.root}/locations"
+
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
+    @property
+    def audit(self) -> str:
+        return f"{self.root}/audit"
 
 
 def run_name(run_ts: datetime) -> str:

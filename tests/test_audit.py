@@ -47,11 +47,11 @@ def test_dataset_figures_on_the_first_pipe_only(spark):
 
 def test_record_checks(spark):
     pipes = spark.createDataFrame(
-        [("agt", "Parent", "Name", "1"), ("x", "P", "N", "1000"), (None, None, None, None)],
+        [("ab1", "Parent", "Name", "1"), ("x", "P", "N", "1000"), (None, None, None, None)],
         "PipeCode string, ParentPipe string, PipeName string, GFPipeID string",
     )
     checked = O.validate_pipes(pipes)
-    assert [r.PipeCode for r in O.valid(checked).collect()] == ["AGT"]
+    assert [r.PipeCode for r in O.valid(checked).collect()] == ["AB1"]
     every = "code length; parent length; name length; id is not three digits"
     assert [r.Reason for r in O.rejected(checked).collect()] == [every, every]
     results = spark.createDataFrame(

@@ -92,10 +92,10 @@ def test_signs(spark):
 
 
 @pytest.mark.parametrize("path, name, pipe, day", [
-    ("file:/l/AGT_OA_20260105_INTRDY_2026-01-05_0800.csv",
-     "AGT_OA_20260105_INTRDY_2026-01-05_0800.csv", "AGT", "20260105"),
-    ("s://b/posting=TE_SG_Line_1_20260105_x.csv/part-0-a.c000.txt", "TE_SG_Line_1_20260105_x.csv", "TE", "20260105"),
-    ("file:/l/TE_AllPoints.csv/part-00000-x.csv", "TE_AllPoints.csv", "TE", None),
+    ("file:/l/P1_OA_20260105_INTRDY_2026-01-05_0800.csv",
+     "P1_OA_20260105_INTRDY_2026-01-05_0800.csv", "P1", "20260105"),
+    ("s://b/posting=P2_SG_Line_1_20260105_x.csv/part-0-a.c000.txt", "P2_SG_Line_1_20260105_x.csv", "P2", "20260105"),
+    ("file:/l/P2_AllPoints.csv/part-00000-x.csv", "P2_AllPoints.csv", "P2", None),
     ("file:/l/P1_NN_20260105.csv", "P1_NN_20260105.csv", "P1", None),
     ("file:/l/readme.txt", "", "", None),
 ])
@@ -107,10 +107,10 @@ def test_posting_names(spark, path, name, pipe, day):
 
 
 def test_pipe_labels(spark):
-    labels = ["Algonquin (AGT)", "No bracket", " A (B) (C)) ", "(X)"]
+    labels = ["Northern Line (NL)", "No bracket", " A (B) (C)) ", "(X)"]
     got = values(spark, labels, "string", L.pipe_label(X))
     assert [None if g is None else tuple(g) for g in got] == [
-        ("Algonquin", "AGT"), None, ("A", "B) (C))"), ("", "X"),
+        ("Northern Line", "NL"), None, ("A", "B) (C))"), ("", "X"),
     ]
 
 

@@ -206,5 +206,28 @@ def test_a_batch_with_part_of_a_day_keeps_the_rest_of_it(spark, tmp_path, pipes)
     assert gold_rows(spark, tables, date(2026, 1, 6)) == [("OA", "0010000007", 11.0, "R")]
 
 
-def test_shared_folder_is_the_named_one(spark):
-    assert shared_folder(spark) == shared_folder(spark)
+def test_shared_folder_is_the_one_the_session_names(spark):
+    class Conf:
+        def get(self, key, default):
+            return "s3a://bucket/shared/" if key == "spark.checkpoint.dir" else default
+
+    class Named:
+        conf = Conf()
+
+    assert shared_folder(Named()) == "s3a://bucket/shared"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster())
