@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -163,3 +164,24 @@ def test_drop_all_null_and_conform(spark):
     assert [r.c for r in O.drop_all_null(df, ["a", "b"]).collect()] == [2]
     fact = O.conform(spark.createDataFrame([(DAY,)], "GasDay date"), FACT)
     assert fact.schema.names == FACT.names and fact.first().GasDay == DAY
+
+
+def test_directions_against_brute_force(spark):
+    """Random rows, each compared with the direction table worked out row by row."""
+    draw = random.Random(7)
+    figures = [None, -3.5, -1.0, 0.0, 1.0, 2.5]
+    rows = [(f"S{n}", draw.choice(figures), draw.choice(figures), draw.choice(figures)) for n in range(600)]
+
+    def expected(name, cap, nom, cap2):
+        if nom is None:
+            return []
+        size = lambda x: None if x is None else abs(x)
+        if cap2 is None:
+            return [(name, size(cap), abs(nom), "TD2" if nom < 0 else "TD1")]
+        forward, backward = (0.0, abs(nom)) if nom < 0 else (abs(nom), 0.0)
+        return [(name, size(cap), forward, "TD1"), (name, abs(cap2), backward, "TD2")]
+
+    want = sorted((out for row in rows for out in expected(*row)), key=str)
+    got = O.sg_directions(sg(spark, *rows)).select("`Station Name`", "OpCap", "Nom", "FlowInd").collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    assert all((r.OpCap or 0) >= 0 and r.Nom >= 0 for r in got)

@@ -231,3 +231,21 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Cluster())
+
+
+def test_attribute_history_takes_only_changes(spark, tmp_path):
+    folder = tmp_path / "META"
+    folder.mkdir()
+    path = new_folder(spark, "attributes")
+    header = "Loc,Loc Name,Loc Zone"
+
+    def post(*lines):
+        (folder / "P1_AllPoints.csv").write_text("\n".join([header, *lines]) + "\n")
+        plans.update_attributes(spark, str(folder), path, date(2026, 1, 15), "Parent")
+        rows = plans.stored_attributes(spark, path).collect()
+        return sorted((r.Loc, r.LocName, r.LocZone) for r in rows)
+
+    first = post("1,a,Z1", "2,b,Z1")
+    assert first == [("1", "a", "Z1"), ("2", "b", "Z1")]
+    assert post("1,a ,Z1", "2,b,Z1") == first
+    assert post("1,a,Z1", "2,b,Z2", "3,c,NA") == sorted([*first, ("2", "b", "Z2"), ("3", "c", "")])
