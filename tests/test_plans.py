@@ -63,3 +63,11 @@ def test_merging_slices_shuffles_rows_once(spark, tmp_path):
     cut = facts.withColumn("_part", F.pmod(F.xxhash64(*facts.columns), F.lit(4)))
     text = plan(cut.repartition("GasMonth", "Dataset", "GasDay", "_part").distinct(), "simple")
     assert len(re.findall(r"Exchange ", text)) == 1
+
+
+def test_profiling_hashes_and_never_sorts_lines(spark, tmp_path):
+    from linepack import sources
+
+    (tmp_path / "P1_OA_1.csv").write_text("Loc\n1\n")
+    text = plan(sources.profile(spark, str(tmp_path)), "simple")
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
