@@ -13,6 +13,9 @@ __all__ = ["materialise", "new_folder", "free_name", "text_rows", "keep_keys", "
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: Stands for a missing id where keys must not be null.
+NO_ID = -(2**63)
+
 #: Words and their separators: the six ASCII white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,16 +44,14 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def keep_keys(docs: DataFrame, keys: DataFrame, made: dict[str, Column]) -> DataFrame:
     """The rows of ``docs`` whose ``made`` values are a row of ``keys``, one for each key.
 
-    ``made`` maps each column of ``keys`` to its expression over ``docs``. Nulls
-    equal nulls. Of rows with the same values (repeated rows) one stays.
+    ``made`` maps each column of ``keys`` to its expression over ``docs``; neither side
+    may be null. Of rows with the same values (repeated rows) one stays; they meet in
+    the same partitions as the join.
     """
     own = {k: free_name(docs, f"key_{k}") for k in made}
     left = docs.withColumns({own[k]: e for k, e in made.items()})
-    right = keys.select([named(k).alias(f"{own[k]}_r") for k in made])
-    met = F.lit(True)
-    for k in made:
-        met = met & left[own[k]].eqNullSafe(right[f"{own[k]}_r"])
-    return left.join(right, met, "left_semi").dropDuplicates(list(own.values())).select(
+    right = keys.select([named(k).alias(own[k]) for k in made])
+    return left.join(right, list(own.values()), "left_semi").dropDuplicates(list(own.values())).select(
         [named(c) for c in docs.columns]
     )
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, keep_keys, materialise, named, text_rows
+from .common import NO_ID, SPACES, keep_keys, materialise, named, text_rows
 
 #: Distinct digests of the history in a shard, about.
 SHARD_DIGESTS = 2048
@@ -160,5 +160,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with their columns, one for each text: the one with the smallest id."""
     _, groups = exact_groups(docs, id_col=id_col, text_col=text_col)
-    return keep_keys(docs, groups.select("digest", "keep_id"),
-                     {"digest": text_digest(named(text_col)), "keep_id": named(id_col).cast("long")})
+    keys = groups.select("digest", F.coalesce("keep_id", F.lit(NO_ID)).alias("keep_id"))
+    own_id = F.coalesce(named(id_col).cast("long"), F.lit(NO_ID))
+    return keep_keys(docs, keys, {"digest": text_digest(named(text_col)), "keep_id": own_id})

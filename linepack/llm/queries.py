@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import digest_mph, merge_replay, pareto_mix, ragged_bpe
+from . import cotraining, digest_mph, license_scan, merge_replay, pareto_mix, ragged_bpe, simhash_ball
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(license_scan.scan(_documents(spark, sf_dir)))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_ball.near_duplicates(_documents(spark, sf_dir), radius=4, width=4)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_mph.exact_duplicates(_documents(spark, sf_dir))
 
@@ -37,16 +45,67 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_source_mix": op5_source_mix,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 SPACES = r"[\x20\x09-\x0D]+"
 
+LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def license_sql() -> str:
+    """Phrases by their places, notices by comparing every line with every template."""
+    def strings(values) -> str:
+        return "[" + ", ".join(f"'{v.decode()}'" for v in values) + "]"
+
+    phrases = ", ".join(
+        f"({strings(license_scan.words(phrase))}, '{label}')" for phrase, label in license_scan.PHRASES.items()
+    )
+    known = license_scan.template_list(license_scan.TEMPLATES, license_scan.THRESHOLD)
+    templates = ", ".join(f"('{t.label}', {strings(sorted(t.tokens))}, {t.need})" for t in known)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+        WITH d AS (
+          SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents
+        ), w AS (
+          SELECT doc_id, t, regexp_extract_all(t, '{LICENSE_WORD}') AS w FROM d
+        ), phrase(p, label) AS (
+          VALUES {phrases}
+        ), place AS (
+          SELECT doc_id, label, unnest(list_filter(range(0, len(w) - len(p) + 1), lambda i: w[i + 1 : i + len(p)] = p)) AS spot
+          FROM w, phrase WHERE list_has_all(w, p)
+        ), base AS (
+          SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS labels
+          FROM place GROUP BY doc_id
+        ), line AS (
+          SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '{LICENSE_WORD}') AS w FROM d
+        ), template(label, tokens, need) AS (
+          VALUES {templates}
+        ), notice AS (
+          SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(tokens, w)) / len(tokens)::DOUBLE) AS best
+          FROM line, template WHERE len(list_intersect(tokens, w)) >= need GROUP BY doc_id
+        )
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+               first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+               coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, notice.labels))), ','), '') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+        FROM w LEFT JOIN base USING (doc_id) LEFT JOIN notice USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_license_scan": license_sql(),
     "op3_exact_dedup": rf"""
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACES}', ' ', 'g')) AS h FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
