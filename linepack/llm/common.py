@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepack.shared import materialise, new_folder
 
-__all__ = ["materialise", "new_folder", "free_name", "text_rows", "keep_keys", "slices"]
+__all__ = ["materialise", "new_folder", "free_name", "named", "ship", "text_rows", "keep_keys", "slices"]
+
+_shipped: set[str] = set()
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -34,8 +40,21 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to Python workers, once for each application, unless their path has it."""
+    root = Path(__file__).resolve().parents[2]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    # Spark serves the archive from the driver to every executor.
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='linepack-code-')}/linepack", "zip", root, "linepack")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only id and text, as ``doc_id`` and ``text``; a null text counts as empty."""
+    ship(docs.sparkSession)
     return docs.select(
         named(id_col).cast("long").alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import free_name, named
+from .common import free_name, named, ship
 
 #: Labelled rows, and unlabelled rows, that models are fitted on at most.
 LABELLED_ROWS = 10_000
@@ -182,6 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     ignored; a document with several takes the majority, good on a tie; labels without
     document and documents without id are left out.
     """
+    ship(docs.sparkSession)
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("good"))

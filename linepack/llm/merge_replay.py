@@ -193,3 +193,28 @@ def round_trip_digests(docs: DataFrame, vocabulary: str, pattern: str,
     return text_rows(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
+
+
+def encoded_with_digests(docs: DataFrame, vocabulary: str, pattern: str,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids, n_tokens, ids_sha256 and decoded_sha256 of each row: what is kept for training and its check."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replay, _ = codec(vocabulary, pattern)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for start, end in slices([len(t) for t in texts], BLOCK_CHARS):
+                own = list(encode_texts(texts[start:end], vocabulary, pattern))
+                lengths = np.cumsum([0, *[len(ids) for ids, _ in own]])
+                flat = np.fromiter(chain.from_iterable([ids for ids, _ in own]), np.int32, int(lengths[-1]))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(start, end - start),
+                    pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), pa.array(flat)),
+                    pa.array(np.diff(lengths)),
+                    pa.array([hashlib.sha256(decimal.encode()).hexdigest() for _, decimal in own], pa.string()),
+                    pa.array([hashlib.sha256(replay.decode(ids)).hexdigest() for ids, _ in own], pa.string()),
+                ], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return text_rows(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )

@@ -148,3 +148,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("copies", F.col("whole") + F.when(F.coalesce(chosen & (F.col("more") == 0), F.lit(False)), 1).otherwise(F.col("more")))
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weight: Column | None = None, most: int = MOST_COPIES) -> DataFrame:
+    """The rows of ``docs`` with their columns, each repeated as often as the mix takes it.
+
+    An id stands for one document: rows that share it are taken as often as the mix
+    takes the first of them. Documents without words and those without id are not taken.
+    """
+    own = free_name(docs, "mix_id")
+    times = free_name(docs, "mix_copies")
+    taken = (
+        mix(docs, id_col, text_col, source_col, weight, most).where("copies > 0 AND size > 0 AND doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias(own)).agg(F.min("copies").alias(times))
+    )
+    met = docs.withColumn(own, named(id_col).cast("long")).join(taken, own)
+    kept = [named(c) for c in docs.columns]
+    return met.select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(own)).select(kept)
