@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, digest_mph, license_scan, merge_replay, pareto_mix, ragged_bpe, simhash_ball
+from . import cotraining, digest_mph, license_scan, merge_replay, packing, pareto_mix, ragged_bpe, simhash_ball
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(
+        _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, row_tokens=2048
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_source_mix": op5_source_mix,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op9_packed_rows": op9_packed_rows,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
