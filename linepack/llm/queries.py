@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, digest_mph, license_scan, merge_replay, packing, pareto_mix, ragged_bpe, simhash_ball
+from . import cotraining, digest_mph, license_scan, merge_replay, packing, pareto_mix, pruned_graph, ragged_bpe, simhash_ball
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pruned_graph.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
+
+
 def op9_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(
         _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, row_tokens=2048
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_source_mix": op5_source_mix,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packed_rows": op9_packed_rows,
     "op10_quality_classifier": op10_quality_classifier,
 }
