@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, digest_mph, license_scan, merge_replay, packing, pareto_mix, pruned_graph, ragged_bpe, simhash_ball
+from . import (
+    block_anchors,
+    cotraining,
+    digest_mph,
+    license_scan,
+    merge_replay,
+    packing,
+    pareto_mix,
+    pruned_graph,
+    ragged_bpe,
+    simhash_ball,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +56,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_anchors.substring_dedup(_documents(spark, sf_dir))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned_graph.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
 
@@ -66,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_source_mix": op5_source_mix,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packed_rows": op9_packed_rows,
     "op10_quality_classifier": op10_quality_classifier,
@@ -116,7 +132,27 @@ def license_sql() -> str:
         FROM w LEFT JOIN base USING (doc_id) LEFT JOIN notice USING (doc_id)"""
 
 
+SUBSTRING_SQL = r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), s AS (
+      SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13
+    ), v AS (
+      SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS t FROM s
+    ), r AS (
+      SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) < doc_id AS later FROM v
+    ), g AS (
+      SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM r WHERE later GROUP BY doc_id
+    ), k AS (
+      SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS n_gone,
+             CASE WHEN gone IS NULL THEN w ELSE list_where(w, list_transform(range(1, len(w) + 1), lambda j: NOT list_contains(gone, j))) END AS kept
+      FROM d LEFT JOIN g USING (doc_id)
+    )
+    SELECT doc_id, n::BIGINT AS n_words, n_gone::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
+
+
 ORACLES: dict[str, str] = {
+    "op7_substring_dedup": SUBSTRING_SQL,
     "op1_license_scan": license_sql(),
     "op3_exact_dedup": rf"""
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACES}', ' ', 'g')) AS h FROM documents)
