@@ -457,7 +457,7 @@ ORACLES: dict[str, str] = {
           SELECT u.pipeline, count(r.pipeline) AS total, count(*) FILTER (WHERE r.success) AS succeeded,
                  CASE WHEN u.pipeline = 'run3' THEN 0 ELSE epoch_us(any_value(u.e)) - epoch_us(any_value(u.s)) END AS us
           FROM runs u LEFT JOIN results r ON r.pipeline = u.pipeline GROUP BY u.pipeline)""", select="""
-        SELECT pipeline, CAST(sum(total) AS BIGINT) AS total, CAST(sum(succeeded) AS BIGINT) AS succeeded,
+        SELECT pipeline, GROUPING(pipeline) = 1 AS is_total, CAST(sum(total) AS BIGINT) AS total, CAST(sum(succeeded) AS BIGINT) AS succeeded,
                CAST(sum(total) - sum(succeeded) AS BIGINT) AS failed,
                CAST(CAST(sum(us) AS DECIMAL(28,6)) / 1000000 AS DOUBLE) AS duration_s,
                coalesce(sum(succeeded) * 100.0::DOUBLE / nullif(sum(total), 0), 0.0) AS success_rate

@@ -10,8 +10,10 @@ from .text import (
     null_or_empty,
     pipe_label,
     pipe_of_posting,
+    post_time_of_posting,
     posting_name,
     strip,
+    unit_of_posting,
     without_null_marks,
     zfill,
 )
@@ -30,6 +32,6 @@ __all__ = [
     "batch", "date_of_posting", "day_text", "file_safe", "gas_month", "gf_loc_id",
     "gf_number", "last_part", "loc_id", "mapped", "nn_day", "nn_flow", "nn_posting_day",
     "null_or_empty", "number", "oa_day", "oa_flow", "pipe_id", "pipe_label",
-    "pipe_of_gf_loc_id", "pipe_of_posting", "posting_name", "quantity", "seconds_between",
-    "sg_direction", "sg_flow", "signed", "strip", "without_null_marks", "zfill",
+    "pipe_of_gf_loc_id", "pipe_of_posting", "post_time_of_posting", "posting_name", "quantity", "seconds_between",
+    "sg_direction", "sg_flow", "signed", "strip", "unit_of_posting", "without_null_marks", "zfill",
 ]

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def batch(fn: Callable[[Any], Any], returns: T.DataType | str) -> Callable[[Column], Column]:
@@ -18,9 +19,10 @@ def batch(fn: Callable[[Any], Any], returns: T.DataType | str) -> Callable[[Colu
     rules only the user can write.
     """
 
-    def apply(values: pd.Series) -> pd.Series:
-        present = values.astype(object).where(values.notna(), None)
-        return pd.Series([fn(value) for value in present], index=values.index, dtype=object)
+    def apply(values: pa.Array) -> pa.Array:
+        # Arrow tells null from NaN, pandas does not.
+        return pa.array([fn(value) for value in values.to_pylist()], kind)
 
-    apply.__annotations__ = {"values": pd.Series, "return": pd.Series}
-    return F.pandas_udf(apply, returns)
+    kind = to_arrow_type(T.DataType.fromDDL(returns) if isinstance(returns, str) else returns)
+    apply.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(apply, returns)

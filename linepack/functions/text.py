@@ -51,8 +51,25 @@ def pipe_of_posting(name: Column) -> Column:
 
 
 def date_of_posting(name: Column) -> Column:
-    """The eight digits between underscores as text, null where there are none."""
-    return F.nullif(F.regexp_extract(name, r"_(\d{8})_", 1), F.lit(""))
+    """The eight digits between underscores, or in front of the extension, as text; else null."""
+    return F.nullif(F.regexp_extract(name, r"_(\d{8})[_.]", 1), F.lit(""))
+
+
+_POST_TIME = r"_(\d{4}-\d{2}-\d{2}_\d{4})(?=\.csv$)"
+
+
+def post_time_of_posting(name: Column) -> Column:
+    """Day and time of the download at the end of the name as text that sorts, empty where there is none."""
+    return F.regexp_extract(name, _POST_TIME, 1)
+
+
+def unit_of_posting(name: Column) -> Column:
+    """What a posting is about: its name without the time of the download.
+
+    Pipe, dataset, segment and gas day stay in it, so postings of one unit replace
+    each other and those of other units add up.
+    """
+    return F.regexp_replace(name, _POST_TIME, "")
 
 
 def pipe_label(label: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -50,13 +50,15 @@ def new_location_counts(found: dict[str, DataFrame]) -> DataFrame:
 
 def dataset_detail(raw: DataFrame, silver: DataFrame, new_locations: DataFrame) -> DataFrame:
     """One line per dataset and pipe; figures of the whole dataset on its first pipe only."""
-    first = F.col("pipe_code") == F.min("pipe_code").over(Window.partitionBy("dataset_type"))
+    firsts = raw.groupBy("dataset_type").agg(F.min("pipe_code").alias("_first"))
+    first = F.col("pipe_code") == F.col("_first")
 
     def once(name: str) -> Column:
         return F.when(first, F.coalesce(F.col(name), F.lit(0))).otherwise(F.lit(0)).alias(name)
 
     return (
-        raw.join(silver, "dataset_type", "left")
+        raw.join(firsts, "dataset_type")
+        .join(silver, "dataset_type", "left")
         .join(new_locations, "dataset_type", "left")
         .select(
             "dataset_type", "pipe_code", "raw_records", "raw_files",
@@ -66,7 +68,7 @@ def dataset_detail(raw: DataFrame, silver: DataFrame, new_locations: DataFrame)
 
 
 def run_summary(results: DataFrame, runs: DataFrame) -> DataFrame:
-    """Totals per run and, with a null pipeline, over all runs."""
+    """Totals per run and, marked by ``is_total``, over all runs."""
     counted = results.groupBy("pipeline").agg(
         F.count("*").alias("total"), F.count_if("success").alias("succeeded")
     )
@@ -80,13 +82,14 @@ def run_summary(results: DataFrame, runs: DataFrame) -> DataFrame:
     return (
         per_run.rollup("pipeline")
         .agg(
+            (F.grouping("pipeline") == 1).alias("is_total"),
             F.sum("total").alias("total"),
             F.sum("succeeded").alias("succeeded"),
             F.sum("seconds").cast("double").alias("duration_s"),
         )
         .withColumn("failed", F.col("total") - F.col("succeeded"))
         .withColumn("success_rate", F.coalesce(rate, F.lit(0.0)))
-        .select("pipeline", "total", "succeeded", "failed", "duration_s", "success_rate")
+        .select("pipeline", "is_total", "total", "succeeded", "failed", "duration_s", "success_rate")
     )
 
 

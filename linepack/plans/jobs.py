@@ -7,8 +7,10 @@ what it wrote.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..operators import (
     conform,
+    current_postings,
     daily_range,
     dataset_detail,
     file_counts,
@@ -40,6 +43,7 @@ from ..operators import (
     unmatched_stations,
     upsert_by_key,
 )
+from ..functions import gas_month
 from ..operators.silver import LOCATION_COLUMN
 from ..schemas import REJECTS, STORED_LOCATIONS
 from ..shared import materialise
@@ -96,8 +100,13 @@ class Tables:
         return f"{self.root}/audit"
 
 
-def run_name(run_ts: datetime) -> str:
-    return f"{run_ts:%Y%m%d%H%M%S}"
+#: Columns in front of the slice in the gold table of an installation.
+GOLD_EXTRA = ("ParentPipe",)
+
+
+def run_name(run_ts: datetime, parent: str) -> str:
+    """Time and parent of a run: two parents can run at the same time."""
+    return f"{run_ts:%Y%m%d%H%M%S}-{re.sub('[^A-Za-z0-9]+', '-', parent)}"
 
 
 def land(
@@ -130,7 +139,9 @@ def to_silver(raw: DataFrame, pipes: DataFrame, dataset: str) -> DataFrame:
     return point_silver(rows, pipes, LOCATION_COLUMN[dataset])
 
 
-def to_gold(silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime) -> DataFrame:
+def to_gold(
+    silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime, parent: str
+) -> DataFrame:
     """Stamped facts of all datasets; ``merge_slices`` makes them distinct while it writes."""
     facts = []
     if fixed.OA in silver:
@@ -139,7 +150,21 @@ def to_gold(silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime
         facts.append(gold_nn(silver[fixed.NN]))
     if fixed.SG in silver:
         facts.append(gold_sg(silver[fixed.SG], locations))
-    return union_by_name(*facts).withColumn("Timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    return union_by_name(*facts).withColumns({
+        "Timestamp": F.lit(run_ts).cast("timestamp_ntz"), "ParentPipe": F.lit(parent),
+    })
+
+
+def posted_slices(raw: dict[str, DataFrame], parent: str) -> DataFrame:
+    """The slices that postings hold rows of."""
+    parts = [
+        rows.select(
+            gas_month(F.col("GasDay")).alias("GasMonth"), F.lit(dataset).alias("Dataset"), "GasDay",
+            F.lit(parent).alias("ParentPipe"),
+        ).where(F.col("GasDay").isNotNull()).distinct()
+        for dataset, rows in raw.items()
+    ]
+    return union_by_name(*parts)
 
 
 def current_locations(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -190,13 +215,16 @@ def run_rejects(
 
 
 def write_run(df: DataFrame, path: str, run: str) -> None:
-    (
-        df.withColumn("run", F.lit(run))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run")
-        .parquet(path)
-    )
+    """Replace the whole folder of a run, also by nothing."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def days_of(dataset: str, start: date, end: date, as_of: date) -> tuple[date, date]:
+    """The gas days [start, end] as a dataset posts them: no-notice figures lag behind the run."""
+    if dataset != fixed.NN:
+        return start, end
+    latest = as_of - timedelta(days=fixed.NN_LAG_DAYS)
+    return min(start, latest), min(end, latest)
 
 
 def _of_days(raw: DataFrame, start: date, end: date) -> DataFrame:
@@ -221,18 +249,42 @@ def run_range(
 ) -> None:
     """Process the posted files of the gas days [start, end] and replace their slices.
 
-    ``landing`` names the folder (or files) of each dataset. ``keep_run_gold``
-    also keeps the run's gold rows as a table of their own. With ``availability``
-    the datasets that were not delivered are listed, and of a run over one day
-    also added to ``failure_log``.
+    ``landing`` names the folder (or files) of each dataset. No-notice postings are
+    taken for the days they can be there for, four days before the run at the latest.
+    Of postings of one unit only the newest counts; rows of other days wait for
+    their own run. ``keep_run_gold`` also keeps the run's gold rows as a table of
+    their own. With ``availability`` the datasets that were not delivered are listed,
+    and of a run over one day also added to ``failure_log``.
     """
     if end > run_ts.date():
         raise ValueError(f"{end} is in the future of the run at {run_ts}")
-    run = run_name(run_ts)
+
+    def chosen(dataset: str, rows: DataFrame) -> DataFrame:
+        return _of_days(rows, *days_of(dataset, start, end, run_ts.date()))
+
+    run_days(spark, landing, pipes, tables, chosen, run_ts, parent, availability, target_day,
+             keep_run_gold, failure_log)
+
+
+def run_days(
+    spark: SparkSession,
+    landing: dict[str, str | list[str]],
+    pipes: DataFrame,
+    tables: Tables,
+    chosen: Callable[[str, DataFrame], DataFrame],
+    run_ts: datetime,
+    parent: str,
+    availability: DataFrame | None = None,
+    target_day: date | None = None,
+    keep_run_gold: bool = False,
+    failure_log: str | None = None,
+) -> None:
+    """``run_range`` over the rows that ``chosen`` takes of a dataset's current postings."""
+    run = run_name(run_ts, parent)
     of_parent = pipes.where(F.col("ParentPipe") == parent)
     landed = land(spark, landing, tables, run)
     meta_raw = landed.pop(fixed.META, None)
-    raw = {dataset: _of_days(rows, start, end) for dataset, rows in landed.items()}
+    raw = {dataset: chosen(dataset, current_postings(rows)) for dataset, rows in landed.items()}
     if not raw:
         raise ValueError("nothing was posted")
 
@@ -245,15 +297,15 @@ def run_range(
     found = discover_locations(silver, meta, of_parent, tables, parent, run_ts)
     locations = current_locations(spark, tables)
 
-    gold = to_gold(silver, locations, run_ts)
+    gold = to_gold(silver, locations, run_ts, parent)
     if keep_run_gold:
         where = f"{tables.gold_runs}/run={run}"
         gold.distinct().write.mode("overwrite").parquet(where)
         gold = spark.read.schema(gold.schema).parquet(where)
-    merge_slices(gold, tables.gold)
+    merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(raw, parent))
 
     write_run(run_rejects(raw, silver, of_parent, locations), tables.rejects, run)
-    posted = _audit(raw, silver, found, tables, run)
+    posted = write_audit(raw, silver, found, tables, run, meta_raw)
     if availability is not None:
         missing = missing_downloads(availability, posted)
         write_run(missing, f"{tables.audit}/missing", run)
@@ -268,14 +320,16 @@ def run_range(
             )
 
 
-def _audit(
+def write_audit(
     raw: dict[str, DataFrame],
     silver: dict[str, DataFrame],
     found: dict[str, DataFrame],
     tables: Tables,
     run: str,
+    meta: DataFrame | None = None,
 ) -> DataFrame:
-    """Write the audit tables of a run; returns its counts per dataset and pipe."""
+    """Write the audit tables of a run; returns its counts per dataset and pipe, attributes included."""
+    raw = raw if meta is None else {**raw, fixed.META: meta}
     files = [
         file_counts(rows, "PipeCode", "PostingFile").withColumn("Dataset", F.lit(dataset))
         for dataset, rows in raw.items()
@@ -341,8 +395,9 @@ def rebuild_slices(
     pipes: DataFrame,
     tables: Tables,
     run_ts: datetime,
+    parent: str,
 ) -> None:
-    """Build slices anew from all their bronze rows and replace them.
+    """Build slices anew from all their current bronze rows and replace them.
 
     ``touched`` holds the gas days per dataset. The span of the days is a plain
     filter, which skips files by their statistics; the days themselves are a
@@ -350,7 +405,7 @@ def rebuild_slices(
     and broadcasts, so the rows are not shuffled by day.
     """
     locations = current_locations(spark, tables)
-    silver = {}
+    silver, raw = {}, {}
     for dataset, some_days in touched.items():
         days = materialise(some_days.select("GasDay").distinct(), "days")
         span = days.agg(F.min("GasDay").alias("first"), F.max("GasDay").alias("last")).first()
@@ -361,6 +416,8 @@ def rebuild_slices(
             .where(F.col("GasDay").between(F.lit(span["first"]), F.lit(span["last"])))
             .join(days, "GasDay", "left_semi")
         )
-        silver[dataset] = to_silver(rows, pipes, dataset)
+        raw[dataset] = current_postings(rows, "run")
+        silver[dataset] = to_silver(raw[dataset].drop("run"), pipes, dataset)
     if silver:
-        merge_slices(to_gold(silver, locations, run_ts), tables.gold)
+        gold = to_gold(silver, locations, run_ts, parent)
+        merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(raw, parent))

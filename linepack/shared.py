@@ -2,29 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach, as the session or its context names it.
 
-    Without the setting only a local session gets a folder of its own: on a
-    cluster a machine-local folder would be invisible to the other machines.
+    There is no folder of our own choice: a machine-local one would be invisible to
+    the other machines of a cluster.
     """
-    named = spark.conf.get(_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError(f"set {_SETTING} to a folder all executors can reach")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="linepack-"))
-    return _local_folder[0]
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

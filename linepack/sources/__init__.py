@@ -10,10 +10,10 @@ from .postings import (
     read_segments,
     unreadable_segments,
 )
-from .references import loc_reference, pipe_reference, stored_meta
+from .references import loc_reference, pipe_reference, pipe_rejects, stored_meta
 
 __all__ = [
     "SegmentFiles", "append_failures", "failed_units", "inspect_segments", "loc_reference",
-    "pipe_reference", "profile", "read_failures", "read_meta", "read_points", "read_segments",
+    "pipe_reference", "pipe_rejects", "profile", "read_failures", "read_meta", "read_points", "read_segments",
     "stored_meta", "unreadable_segments",
 ]

@@ -7,16 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import pipe_id
+from ..operators.validate import rejected, valid, validate_pipes
 
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
 def pipe_reference(entities: DataFrame, parent: str | None = None) -> DataFrame:
-    """The four pipe columns, the id as three-digit text; one parent's pipes on request."""
-    pipes = entities.select(
+    """The four pipe columns, the id as three-digit text; one parent's pipes on request.
+
+    Records that break a rule of ``validate_pipes`` are left out; ``pipe_rejects``
+    lists them. An id of more than three digits would key rows to another pipe.
+    """
+    pipes = _pipe_columns(entities)
+    good = valid(validate_pipes(pipes.withColumn("_code", F.col("PipeCode"))))
+    pipes = good.withColumn("PipeCode", F.col("_code")).select(*pipes.columns)
+    return pipes if parent is None else pipes.where(F.col("ParentPipe") == parent)
+
+
+def _pipe_columns(entities: DataFrame) -> DataFrame:
+    return entities.select(
         "ParentPipe", "PipeName", pipe_id(F.col("GFPipeID").cast("int")).alias("GFPipeID"), "PipeCode"
     )
-    return pipes if parent is None else pipes.where(F.col("ParentPipe") == parent)
+
+
+def pipe_rejects(entities: DataFrame) -> DataFrame:
+    """Pipe records that ``pipe_reference`` leaves out, with the rules they break."""
+    return rejected(validate_pipes(_pipe_columns(entities)))
 
 
 def loc_reference(entities: DataFrame) -> DataFrame:

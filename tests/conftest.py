@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SESSION = (
     SparkSession.builder.master("local[8]")
     .config("spark.sql.shuffle.partitions", "8")
+    .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
     .config("spark.ui.enabled", "false")
     .config("spark.ui.showConsoleProgress", "false")
     .config("spark.driver.memory", "8g")

@@ -96,7 +96,7 @@ def test_signs(spark):
      "P1_OA_20260105_INTRDY_2026-01-05_0800.csv", "P1", "20260105"),
     ("s://b/posting=P2_SG_Line_1_20260105_x.csv/part-0-a.c000.txt", "P2_SG_Line_1_20260105_x.csv", "P2", "20260105"),
     ("file:/l/P2_AllPoints.csv/part-00000-x.csv", "P2_AllPoints.csv", "P2", None),
-    ("file:/l/P1_NN_20260105.csv", "P1_NN_20260105.csv", "P1", None),
+    ("file:/l/P1_NN_20260105.csv", "P1_NN_20260105.csv", "P1", "20260105"),
     ("file:/l/readme.txt", "", "", None),
 ])
 def test_posting_names(spark, path, name, pipe, day):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linepack import plans, sinks, sources, streaming
-from linepack.fixed import OA_RAW
+from linepack.fixed import META_RAW, OA_RAW
 from linepack.operators import conform
 from linepack.schemas import FACT, STORED_LOCATIONS, texts
 from linepack.shared import new_folder, shared_folder
@@ -211,19 +211,25 @@ def test_shared_folder_is_the_one_the_session_names(spark):
         def get(self, key, default):
             return "s3a://bucket/shared/" if key == "spark.checkpoint.dir" else default
 
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
     class Named:
         conf = Conf()
+        sparkContext = Context()
 
     assert shared_folder(Named()) == "s3a://bucket/shared"
 
 
-def test_no_machine_local_folder_on_a_cluster():
+def test_no_folder_of_its_own_choice():
     class Conf:
         def get(self, key, default):
             return default
 
     class Context:
-        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
 
     class Cluster:
         conf = Conf()
@@ -249,3 +255,111 @@ def test_attribute_history_takes_only_changes(spark, tmp_path):
     assert first == [("1", "a", "Z1"), ("2", "b", "Z1")]
     assert post("1,a ,Z1", "2,b,Z1") == first
     assert post("1,a,Z1", "2,b,Z2", "3,c,NA") == sorted([*first, ("2", "b", "Z2"), ("3", "c", "")])
+
+
+def nn_file(day, loc, value):
+    return ("Effective_From_DateTime,Loc_Prop,Loc_Name,Allocated_Qty,Direction_Of_Flow,Accounting_Physincal_Indicator\n"
+            f"{day} 09:00,{loc},Notice,{value},B,A\n")
+
+
+def test_a_daily_run_takes_the_no_notice_day_that_can_be_there(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    oa, nn, meta = tmp_path / "OA", tmp_path / "NN", tmp_path / "META"
+    for folder in (oa, nn, meta):
+        folder.mkdir()
+    for day in ("14", "15"):
+        (oa / f"P1_OA_202601{day}_INTRDY_2026-01-15_0600.csv").write_text(
+            "\n".join([",".join(OA_RAW), oa_line(f"01-{day}-2026", "7", "10")]) + "\n")
+    (nn / "P1_NN_20260111.csv").write_text(nn_file("01/11/2026", 8, 5))
+    (meta / "P1_AllPoints.csv").write_text(",".join(META_RAW) + "\n7,Point,TX,Bee,Z1,R,T1\n")
+    availability = spark.createDataFrame(
+        [(("One (P1)", "One", "P1"), True, False, True, True)],
+        "pipe struct<label string, name string, code string>, has_OA boolean, has_SG boolean, has_NN boolean, has_MetaData boolean",
+    )
+    posted = {"OA": str(oa), "NN": str(nn), "META": str(meta)}
+    plans.run_daily(spark, posted, pipes, tables, RUN_TS, "Parent", availability=availability)
+    assert [c[:2] for c in content(spark, tables.gold)] == [(11, "NN"), (14, "OA"), (15, "OA")]
+    assert spark.read.parquet(f"{tables.audit}/missing").count() == 0
+    assert spark.read.parquet(tables.rejects).count() == 0
+
+
+def test_a_later_posting_replaces_an_earlier_one_and_others_add_up(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    oa = tmp_path / "OA"
+    oa.mkdir()
+    both = pipes.withColumn("ParentPipe", F.lit("Parent"))
+
+    def post(name, *lines):
+        (oa / f"{name}.csv").write_text("\n".join([",".join(OA_RAW), *lines]) + "\n")
+
+    day = date(2026, 1, 5)
+    post("P1_OA_20260105_INTRDY_2026-01-05_0600", oa_line("01-05-2026", "7", "100"), oa_line("01-05-2026", "8", "1"))
+    post("P2_OA_20260105_INTRDY_2026-01-05_0600", oa_line("01-05-2026", "9", "50"))
+
+    def gold():
+        return sorted((r.GFLocID, r.OperatingCapacity) for r in sinks.read_gold(spark, tables.gold).collect())
+
+    def ingest():
+        streaming.ingest(spark, {"OA": str(oa)}, both, tables, "Parent", stream, run_ts=RUN_TS)
+
+    first = [("0010000007", 100.0), ("0010000008", 1.0), ("0020000009", 50.0)]
+    plans.run_day(spark, {"OA": str(oa)}, both, tables, day, RUN_TS, "Parent")
+    assert gold() == first
+    streamed, stream = tables, new_folder(spark, "stream")
+    tables = plans.Tables(new_folder(spark, "tables"))
+    ingest()
+    assert gold() == first
+    post("P1_OA_20260105_INTRDY_2026-01-05_1200", oa_line("01-05-2026", "7", "222"))
+    ingest()
+    second = [("0010000007", 222.0), ("0020000009", 50.0)]
+    assert gold() == second
+    assert spark.read.parquet(f"{tables.audit}/raw_files").count() > 0
+    tables = streamed
+    plans.run_day(spark, {"OA": str(oa)}, both, tables, day, RUN_TS, "Parent")
+    assert gold() == second
+
+
+def test_a_repeated_run_leaves_nothing_behind(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    oa = tmp_path / "OA"
+    oa.mkdir()
+    name = oa / "P1_OA_20260105_INTRDY_2026-01-05_0600.csv"
+    day = date(2026, 1, 5)
+    name.write_text("\n".join([",".join(OA_RAW), oa_line("01-05-2026", "7", "100"), oa_line("01-05-2026", "-7", "1")]) + "\n")
+    plans.run_day(spark, {"OA": str(oa)}, pipes, tables, day, RUN_TS, "Parent")
+    assert len(content(spark, tables.gold)) == 1 and spark.read.parquet(tables.rejects).count() == 1
+    # Another parent at the same time keeps its own runs and slices.
+    plans.run_day(spark, {"OA": str(oa)}, pipes.withColumn("ParentPipe", F.lit("Twin")), tables, day, RUN_TS, "Twin")
+    assert len(content(spark, tables.gold)) == 2 and spark.read.parquet(tables.rejects).count() == 2
+    # All rows of the slice are rejected now: it is posted and empty.
+    name.write_text("\n".join([",".join(OA_RAW), oa_line("01-05-2026", "-7", "1")]) + "\n")
+    plans.run_day(spark, {"OA": str(oa)}, pipes, tables, day, RUN_TS, "Parent")
+    rows = sinks.read_gold(spark, tables.gold, extra=("ParentPipe",)).collect()
+    assert [r.ParentPipe for r in rows] == ["Twin"]
+    name.write_text("\n".join([",".join(OA_RAW), oa_line("01-05-2026", "7", "5")]) + "\n")
+    plans.run_day(spark, {"OA": str(oa)}, pipes, tables, day, RUN_TS, "Parent")
+    runs = spark.read.parquet(tables.rejects).groupBy("run").count().collect()
+    assert [r["count"] for r in runs] == [1] and len(content(spark, tables.gold)) == 2
+
+
+def test_replay_leaves_days_between_alone(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    posted = landing(tmp_path)
+    (tmp_path / "NN" / "P1_NN_20260111.csv").write_text(nn_file("01/11/2026", 8, 5))
+    (tmp_path / "OA" / "P1_OA_20260108_INTRDY_2026-01-08_0600.csv").write_text(
+        "\n".join([",".join(OA_RAW), oa_line("01-08-2026", "7", "10")]) + "\n")
+    log = tmp_path / "fails.csv"
+    log.write_text("P1|OA|2026/01/05\nP1|NN|2026/01/11\n")
+    still_open = plans.replay_failed(spark, str(log), posted, pipes, tables, RUN_TS, "Parent")
+    assert still_open.count() == 0
+    assert {c[:2] for c in content(spark, tables.gold)} == {(5, "OA"), (11, "NN")}
+
+
+def test_pipe_records_that_break_a_rule_are_listed(spark):
+    rows = spark.createDataFrame(
+        [("Parent", "One", 1, "P1"), ("Parent", "Far", 1000, "P2"), ("Parent", "Short", 3, "P"), ("P", "Who", 4, "P4")],
+        "ParentPipe string, PipeName string, GFPipeID int, PipeCode string",
+    )
+    assert [tuple(r) for r in sources.pipe_reference(rows).collect()] == [("Parent", "One", "001", "P1")]
+    bad = {r.PipeName: r.Reason for r in sources.pipe_rejects(rows).collect()}
+    assert bad == {"Far": "id is not three digits", "Short": "code length", "Who": "parent length"}

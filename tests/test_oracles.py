@@ -6,6 +6,8 @@ import pytest
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) == []
 
