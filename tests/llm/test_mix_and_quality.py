@@ -1,0 +1,166 @@
+"""Mixing, the quality classifier and the pipeline."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import edges
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from linepack.llm import cotraining, merge_replay, pareto_mix
+from linepack.llm.cotraining import co_train, content_features, metadata_features
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_targets(sizes):
+    """Share by weight, again and again, until no source is above three times its size."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    full, left, open_ = {}, sum(sizes.values()), set(names)
+    while open_:
+        share = {s: left * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 3 * sizes[s]}
+        if not over:
+            return full | share
+        for s in over:
+            full[s] = 3.0 * sizes[s]
+            left -= 3 * sizes[s]
+        open_ -= over
+    return full
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1000, "b": 1, "c": 1, "d": 5, None: 3}, {"a": 0, "b": 7}, {"a": 0}, {"x": 9},
+    {"a": 6, "b": 12, "c": 18, "d": 600},
+])
+def test_targets_are_those_of_sharing_step_by_step(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in pareto_mix.source_targets(frame).collect()}
+    want = plain_targets(sizes)
+    assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-9) for s in want)
+
+
+def test_sources_come_near_their_targets_and_reruns_agree(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = pareto_mix.mix(docs).collect()
+    again = {r.doc_id: r.taken for r in pareto_mix.mix(docs.repartition(3)).collect()}
+    assert {r.doc_id: r.taken for r in first} == again
+    taken, target, least = Counter(), {}, {}
+    for r in first:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 3 * r.size and r.taken % max(1, r.size) == 0
+        least[r.source] = min(least.get(r.source, r.size), r.size)
+    for source, words in target.items():
+        assert abs(taken[source] - words) <= max(0.05 * words, least[source])
+
+
+def test_weights_tilt_the_sample(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.lit("w " * 10).alias("text"), F.when(F.col("id") < 3000, "a").otherwise("b").alias("source")
+    )
+    heavy = F.when(F.col("doc_id") % 2 == 0, 8.0).otherwise(1.0)
+    rows = pareto_mix.mix(docs, weight=heavy).where("source = 'a'").collect()
+    even = sum(r.taken for r in rows if r.doc_id % 2 == 0)
+    odd = sum(r.taken for r in rows if r.doc_id % 2)
+    assert even > 1.5 * odd
+
+
+def test_mix_of_awkward_rows(spark):
+    docs = edges.documents(spark)
+    rows = pareto_mix.mix(docs).collect()
+    assert len(rows) == len(edges.rows()) and all(r.taken <= 3 * r.size for r in rows)
+    sizes = Counter()
+    for r in edges.rows():
+        sizes[r[3]] += len((r[1] or "").encode().split())
+    assert {r.source: r.source_size for r in rows} == dict(sizes)
+    out = pareto_mix.mixed_documents(docs)
+    assert out.columns == docs.columns
+    wanted = {r.doc_id: r.copies for r in rows if r.doc_id is not None and r.size > 0}
+    got = Counter(r.doc_id for r in out.collect())
+    assert all(got[d] in (n, 2 * n) for d, n in wanted.items()) and None not in got
+    assert pareto_mix.mix(edges.nothing(spark)).count() == 0
+    assert pareto_mix.mixed_documents(edges.nothing(spark)).count() == 0
+
+
+def test_held_out_documents_are_told_apart():
+    import duckdb
+
+    rows = duckdb.execute(f"""
+        SELECT text, lang, source, n_chars, quality FROM '/root/testdata/sf0.1/documents.parquet'
+        LEFT JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY hash(doc_id) LIMIT 4000""").fetchall()
+    content = np.array([content_features(r[0]) for r in rows])
+    metadata = np.array([metadata_features(*r[1:4]) for r in rows])
+    known = np.array([r[4] is not None for r in rows])
+    label = np.array([float(r[4] or 0) for r in rows])
+    labelled = np.flatnonzero(known)
+    fit, test = labelled[: len(labelled) // 2], labelled[len(labelled) // 2 :]
+    model = co_train(content[fit], metadata[fit], label[fit], content[~known], metadata[~known])
+    p = model.scores(content[test], metadata[test])[:, 2]
+    good = label[test] == 1
+    assert (p[good] >= 0.5).mean() >= 0.99 and (p[~good] < 0.5).mean() >= 0.95
+
+
+def test_views_teach_each_other():
+    """Two informative views with few labels: co-training must not lose to the labels alone."""
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 3000).astype(float)
+    a = (y[:, None] * 2 - 1) * 1.5 + rng.normal(size=(3000, 4))
+    b = (y[:, None] * 2 - 1) * 1.5 + rng.normal(size=(3000, 4))
+    few, pool, test = slice(0, 40), slice(40, 2000), slice(2000, 3000)
+    trained = co_train(a[few], b[few], y[few], a[pool], b[pool])
+    alone = co_train(a[few], b[few], y[few], a[:0], b[:0])
+    right = [((m.scores(a[test], b[test])[:, 2] >= 0.5) == (y[test] == 1)).mean() for m in (trained, alone)]
+    assert right[0] >= 0.97 and right[0] >= right[1] - 0.01
+
+
+def test_quality_of_awkward_rows(spark):
+    docs = edges.documents(spark)
+    labels = spark.createDataFrame(
+        [(3, 1, 0), (6, 0, 0), (6, 0, None), (9, None, 1), (None, 1, 1), (999, 1, 0), (12, 1, 0), (15, 0, 0)], "doc_id long, quality int, toxic int"
+    )
+    scores = cotraining.quality_scores(docs, labels).collect()
+    assert len(scores) == len(edges.rows()) and all(0 <= r.score <= 1 for r in scores)
+    kept = cotraining.drop_low_quality(docs, labels)
+    assert kept.columns == docs.columns
+    # Without labels nothing is known against any document.
+    assert cotraining.drop_low_quality(docs, labels.limit(0)).count() == len(edges.rows())
+    assert cotraining.quality_scores(edges.nothing(spark), labels).count() == 0
+    assert cotraining.quality_scores(edges.nothing(spark), labels.limit(0)).count() == 0
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against what its operator's own tests establish, on its predecessor's rows."""
+    from test_dedup_operators import normal, plain_fingerprint, reach
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    first = corpus_pipeline.quality(spark, docs, SF).cache()
+    scores = {r.doc_id: r.kept for r in cotraining.quality_scores(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    assert sorted(r.doc_id for r in first.collect()) == sorted(d for d, k in scores.items() if k)
+    second = corpus_pipeline.exact_dedup(spark, first, SF).cache()
+    texts: dict[str, int] = {}
+    for r in first.collect():
+        texts[normal(r.text)] = min(texts.get(normal(r.text), r.doc_id), r.doc_id)
+    assert sorted(r.doc_id for r in second.collect()) == sorted(texts.values())
+    third = corpus_pipeline.near_dedup(spark, second, SF).cache()
+    prints = {r.doc_id: plain_fingerprint(r.text) for r in second.collect()}
+    links = [(a, b) for a in prints for b in prints if a < b and bin(prints[a] ^ prints[b]).count("1") <= 4]
+    assert sorted(r.doc_id for r in third.collect()) == sorted(set(reach(prints, links).values()))
+    fourth = corpus_pipeline.source_mix(spark, third, SF).cache()
+    copies = {r.doc_id: r.copies for r in pareto_mix.mix(third).collect()}
+    assert Counter(r.doc_id for r in fourth.collect()) == Counter({d: n for d, n in copies.items() if n})
+    assert all(d.columns == docs.columns for d in (first, second, third, fourth))
+    last = corpus_pipeline.encode(spark, fourth, SF).collect()
+    import public_tokenizers
+
+    replay, _ = merge_replay.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    by_id = {r.doc_id: r.text for r in fourth.collect()}
+    assert len(last) == fourth.count()
+    assert all(replay.decode(r.ids).decode() == by_id[r.doc_id] and r.n_tokens == len(r.ids) for r in last)
+    assert [name for name, _ in corpus_pipeline.STAGES] and len(corpus_pipeline.STAGES) == 5
+    assert corpus_pipeline.run(spark, SF).count() == len(last)
