@@ -86,6 +86,7 @@ class MergeReplay:
         """Every merge in rank order, at its places; ``symbols`` end merged, -2 where one was taken up."""
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         known, ranks, table = self.pairs, self.ranks, self.table
+        get = known.get
         heap = list(index)
         heapify(heap)
         while heap:
@@ -99,22 +100,35 @@ class MergeReplay:
                 k = after[i] = after[j]
                 before[k] = i
                 symbols[i], symbols[j], pair[j] = token, -2, -1
-                h = before[i]
                 # Both neighbours make another pair now. What stands before the first piece is the last -1.
-                for at, x, y in ((h, symbols[h], token), (i, token, symbols[k])):
-                    made = -1
-                    if x >= 0 and y >= 0:
-                        key = x << 32 | y
-                        made = known.get(key, -2)
-                        if made == -2:
-                            made = known[key] = ranks.get(table[x] + table[y], -1)
-                        if made >= 0:
-                            if made in index:
-                                index[made].append(at)
-                            else:
-                                index[made] = [at]
-                                heappush(heap, made)
-                    pair[at] = made
+                h = before[i]
+                x = symbols[h]
+                if x >= 0:
+                    key = x << 32 | token
+                    made = get(key, -2)
+                    if made == -2:
+                        made = known[key] = ranks.get(table[x] + table[token], -1)
+                    pair[h] = made
+                    if made >= 0:
+                        if made in index:
+                            index[made].append(h)
+                        else:
+                            index[made] = [h]
+                            heappush(heap, made)
+                y = symbols[k]
+                made = -1
+                if y >= 0:
+                    key = token << 32 | y
+                    made = get(key, -2)
+                    if made == -2:
+                        made = known[key] = ranks.get(table[token] + table[y], -1)
+                    if made >= 0:
+                        if made in index:
+                            index[made].append(i)
+                        else:
+                            index[made] = [i]
+                            heappush(heap, made)
+                pair[i] = made
 
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -128,7 +142,7 @@ def _part(ids: list[tuple[int, ...]], text: list[str]) -> tuple[tuple[int, ...],
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> tuple[MergeReplay, PartMemo]:
     replay = MergeReplay(path)
-    return replay, PartMemo(pattern, replay.encode, lambda ids: _part(ids, replay.text), limit=250_000)
+    return replay, PartMemo(pattern, replay.encode, lambda ids: _part(ids, replay.text), limit=500_000)
 
 
 def encode_texts(texts: Sequence[str], path: str, pattern: str) -> Iterator[tuple[tuple[int, ...], str]]:

@@ -23,6 +23,8 @@ from .common import WORD, free_name, materialise, named
 MOST_COPIES = 3
 #: Cells of the rank (0 to 1) and of each cell.
 CELLS = 4096
+#: Documents next in size to what is missing that may end a source's sample.
+LAST_PLACES = 4
 #: The seed goes into the hashed text.
 SEED = "mix-1"
 
@@ -82,8 +84,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Size is the number of words; a null text has none and takes none. Null is a
     source of its own. ``taken`` is copies * size, at most ``most`` times the size.
-    A source misses its target by less than its smallest fitting document: the last
-    place goes to the document next in size to the words that are missing. ``weight``
+    The ranked sample ends at the first document that does not fit; the last few places
+    go to documents next in size to the words that are missing, so a source misses its
+    target by no more than its spare documents are too long for. ``weight``
     (over the columns of ``docs``, above 0) tilts inclusion odds. Equal rows get
     equal random numbers and follow each other in rank; a null id is hashed as empty.
     Results are written to the shared folder, with one row for each row of ``docs``.
@@ -135,17 +138,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     there = F.struct(F.col("cut_rank").alias("rank"), F.coalesce("cut_doc_id", F.lit(-(2**63))).alias("d"), F.col("cut_size").alias("size"))
     fits = F.col("odds").isNotNull() & (F.col("cut_rank").isNull() | (here < there))
     met = materialise(met.withColumn("more", F.when(fits & (F.col("size") > 0), 1).otherwise(0)), "mix-fit")
-    # The last place: the document whose size is next to what is missing, if that brings the source nearer.
-    gap = F.abs(F.col("size") - F.col("cut_rest"))
-    final = (
-        met.where("more = 0 AND odds IS NOT NULL AND size > 0 AND size < 2 * cut_rest")
-        .groupBy("source_key").agg(F.min(F.struct(gap.alias("gap"), "rank", "doc_id", "size")).alias("f"))
-        .select("source_key", *[F.col(f"f.{c}").alias(f"final_{c}") for c in ("rank", "doc_id", "size")])
-    )
-    chosen = F.col("doc_id").eqNullSafe(F.col("final_doc_id")) & (F.col("rank") == F.col("final_rank")) & (F.col("size") == F.col("final_size"))
+    # The last places: the document whose size is next to what is missing, if that brings the source nearer.
+    place = F.struct("rank", "doc_id", "size")
+    spare = met.where("more = 0 AND odds IS NOT NULL AND size > 0").select("source_key", "rank", "doc_id", "size")
+    state = cut.select("source_key", F.col("cut_rest").alias("rest"), F.array().cast("array<struct<rank:double,doc_id:bigint,size:bigint>>").alias("last"))
+    for _ in range(LAST_PLACES):
+        best = (
+            spare.join(state, "source_key").where((F.col("size") < 2 * F.col("rest")) & ~F.array_contains("last", place))
+            .groupBy("source_key").agg(F.min(F.struct(F.abs(F.col("size") - F.col("rest")).alias("gap"), "rank", "doc_id", "size")).alias("best"))
+        )
+        found = F.col("best").isNotNull()
+        state = materialise(state.join(best, "source_key", "left").select(
+            "source_key",
+            (F.col("rest") - F.when(found, F.col("best.size")).otherwise(0)).alias("rest"),
+            F.when(found, F.array_append("last", F.struct("best.rank", "best.doc_id", "best.size"))).otherwise(F.col("last")).alias("last"),
+        ), "mix-last")
+    chosen = (F.col("more") == 0) & F.coalesce(F.array_contains("last", place), F.lit(False))
     return (
-        met.join(materialise(final, "mix-final"), "source_key", "left")
-        .withColumn("copies", F.col("whole") + F.when(F.coalesce(chosen & (F.col("more") == 0), F.lit(False)), 1).otherwise(F.col("more")))
+        met.join(state.select("source_key", "last"), "source_key", "left")
+        .withColumn("copies", F.col("whole") + F.when(chosen, 1).otherwise(F.col("more")))
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
 

@@ -62,11 +62,15 @@ class PartMemo:
         return [(self.heads[p[0]], map(get, p[1:])) for p in cut]
 
     def _learn(self, memo: dict[str, Any], new: set[str], before: str) -> None:
+        known, combine, find = self.pieces, self.combine, self.find
         # A part of letters only is one match; the pattern is spared for the others.
-        found = {p: [before + p] if p.isalpha() else self.find(before + p) for p in new}
-        pieces = {piece for own in found.values() for piece in own} - self.pieces.keys()
-        distinct = list(pieces)
-        self.pieces.update(zip(distinct, self.encode(distinct), strict=True))
-        known, combine = self.pieces, self.combine
+        single = {p: before + p for p in new if p.isalpha()}
+        found = {p: find(before + p) for p in new if p not in single}
+        pieces = set(single.values())
+        pieces.update(*found.values())
+        distinct = list(pieces - known.keys())
+        known.update(zip(distinct, self.encode(distinct), strict=True))
+        for p, piece in single.items():
+            memo[p] = combine([known[piece]])
         for p, own in found.items():
-            memo[p] = combine([known[own[0]]]) if len(own) == 1 else combine([known[q] for q in own])
+            memo[p] = combine([known[q] for q in own])

@@ -151,6 +151,16 @@ SUBSTRING_SQL = r"""
     SELECT doc_id, n::BIGINT AS n_words, n_gone::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
 
 
+#: One more document next in size to what is missing.
+MIX_PLACE = """, p{n} AS (
+          SELECT *, row_number() OVER (PARTITION BY source, spare AND size < 2 * rest ORDER BY abs(size - rest), rank, doc_id, size) = 1
+                 AND spare AND size < 2 * rest AS now FROM g{before}
+        ), g{n} AS (
+          SELECT * EXCLUDE (now, last, spare, rest), last OR now AS last, spare AND NOT now AS spare,
+                 rest - coalesce(sum(CASE WHEN now THEN size END) OVER (PARTITION BY source), 0) AS rest FROM p{n}
+        )"""
+
+
 ORACLES: dict[str, str] = {
     "op7_substring_dedup": SUBSTRING_SQL,
     "op1_license_scan": license_sql(),
@@ -193,12 +203,10 @@ ORACLES: dict[str, str] = {
             (PARTITION BY source, odds IS NULL ORDER BY odds / (1 + odds), doc_id, size ROWS UNBOUNDED PRECEDING) END AS upto FROM z
         ), k AS (
           SELECT *, coalesce(upto <= need, false) AS fits FROM r
-        ), g AS (
-          SELECT *, need - coalesce(sum(CASE WHEN fits THEN size END) OVER (PARTITION BY source), 0) AS missing FROM k
-        ), p AS (
-          SELECT *, CASE WHEN NOT fits AND odds IS NOT NULL AND size < 2 * missing THEN row_number() OVER
-            (PARTITION BY source, NOT fits AND odds IS NOT NULL AND size < 2 * missing ORDER BY abs(size - missing), rank, doc_id, size) END AS last FROM g
-        )
-        SELECT doc_id, size, source_size, target, whole + (fits OR coalesce(last = 1, false))::INT AS copies,
-               (whole + (fits OR coalesce(last = 1, false))::INT) * size AS taken FROM p""",
+        ), g0 AS (
+          SELECT *, need - coalesce(sum(CASE WHEN fits THEN size END) OVER (PARTITION BY source), 0) AS rest,
+                 NOT fits AND odds IS NOT NULL AS spare, false AS last FROM k
+        ){"".join(MIX_PLACE.format(n=n, before=n - 1) for n in range(1, pareto_mix.LAST_PLACES + 1))}
+        SELECT doc_id, size, source_size, target, whole + (fits OR last)::INT AS copies,
+               (whole + (fits OR last)::INT) * size AS taken FROM g{pareto_mix.LAST_PLACES}""",
 }
