@@ -201,17 +201,7 @@ new_stations AS (
   FROM numbered n LEFT JOIN pipes p ON p.GFPipeID = n.GFPipeID
 )"""
 
-_MONTHLY = """
-oa_monthly AS (
-  SELECT * REPLACE (CASE WHEN Eff_Gas_Day = 'not posted' THEN Eff_Gas_Day
-                         ELSE substring(Eff_Gas_Day, 1, 3) || '01' || substring(Eff_Gas_Day, 6) END AS Eff_Gas_Day)
-  FROM oa_raw
-),
-nn_monthly AS (
-  SELECT * REPLACE (substring(Effective_From_DateTime, 1, 3) || '01' || substring(Effective_From_DateTime, 6)
-                    AS Effective_From_DateTime)
-  FROM nn_raw
-),
+_BLOCKS = """
 sg_blocks AS (
   SELECT "Station Name", Cap, Nom, Cap2, make_date(1995 + 4 * ((year(day) - 1995) // 4), 1, 1) AS EffGasDate,
          CASE WHEN l_suppkey % 2 = 0 THEN 'Timely' ELSE 'Evening' END AS CycleDesc, PipeCode
@@ -261,8 +251,8 @@ def _with(*parts: str, select: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select
 
 
-def _monthly_gold() -> list[str]:
-    return [_BASE, _MONTHLY, _silver("oa_monthly", "nn_monthly", "sg_blocks"), _META, _NEW_STATIONS]
+def _run_gold() -> list[str]:
+    return [_BASE, _BLOCKS, _silver(sg="sg_blocks"), _META, _NEW_STATIONS]
 
 
 _ALL_LOCATIONS = """
@@ -273,12 +263,21 @@ all_locations AS (
 
 def _run(where: str) -> str:
     return _with(
-        *_monthly_gold(), _ALL_LOCATIONS, _gold("all_locations"),
+        *_run_gold(), _ALL_LOCATIONS, _gold("all_locations"),
         select=f"""SELECT DISTINCT {_STAMPED} FROM (
           SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold UNION ALL SELECT * FROM sg_gold) {where}""",
     )
 
 
+_REPOST = _with(
+    _BASE, """
+oa_twice AS (
+  SELECT * REPLACE (CASE WHEN PipeCode <> 'ZZ' AND CAST(TSP AS INT) % 2 = 0 THEN 'X' ELSE IT END AS IT) FROM oa_raw
+)""", _silver("oa_twice"), _gold(),
+    select=f"SELECT DISTINCT {_STAMPED} FROM oa_gold",
+)
+
+
 ORACLES: dict[str, str] = {
     "point_keys": _with(_BASE, select=r"""
         SELECT PipeCode, regexp_replace(Loc, '^\s+|\s+$', '', 'g') AS Loc, k AS LocID, GFPipeID || k AS GFLocID,
@@ -418,14 +417,14 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT GFLocID, 'AFRICA', GFPipeID, GFLocID, LocID, Loc, LocName, LocZone, PipeName,
                '2026-01-15 06:30:00' FROM new_stations"""),
-    "replace_slices": _with(*_monthly_gold(), _gold(), select=f"""
+    "replace_slices": _with(*_run_gold(), _gold(), select=f"""
         SELECT {_STAMPED} FROM (
           SELECT DISTINCT * FROM (SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold)
           WHERE NOT (Dataset = 'OA' AND GasMonth % 2 = 0)
           UNION ALL
           SELECT DISTINCT * REPLACE (OperatingCapacity + 1 AS OperatingCapacity) FROM oa_gold
           WHERE GasMonth % 2 = 0 AND IT = 'F')"""),
-    "cluster_months": _with(*_monthly_gold(), _gold(), select=f"""
+    "cluster_months": _with(*_run_gold(), _gold(), select=f"""
         SELECT DISTINCT {_STAMPED} FROM (SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold)"""),
     "silver_roundtrip": _with(_BASE, _silver(), select="""
         SELECT *, '20260115063000' AS run, '20260115' AS target FROM sg_silver"""),
@@ -485,8 +484,35 @@ ORACLES: dict[str, str] = {
                unnest(CASE WHEN duration_s > 100 THEN ['OA', 'SG', 'NN'] ELSE ['SG'] END) AS type,
                CAST(date AS DATE) AS scrape_date
         FROM results WHERE NOT success"""),
+    "merge_slices": _with(*_run_gold(), _gold(), select=f"""
+        SELECT {_STAMPED} FROM (
+          SELECT DISTINCT * FROM (SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold)
+          WHERE NOT (Dataset = 'OA' AND GasMonth % 2 = 0)
+          UNION ALL
+          SELECT DISTINCT * REPLACE (OperatingCapacity + 1 AS OperatingCapacity) FROM oa_gold
+          WHERE GasMonth % 2 = 0 AND IT = 'F')"""),
+    "run_daily": "SELECT * REPLACE (TIMESTAMP '1998-03-15 06:30:00' AS Timestamp) FROM (" + _run("""
+        WHERE (Dataset <> 'NN' AND GasDay IN (DATE '1998-03-14', DATE '1998-03-15'))
+           OR (Dataset = 'NN' AND GasDay = DATE '1998-03-11')""") + ")",
+    "repost": _REPOST,
+    "stream_repost": _REPOST,
+    "replay_failed": _run("WHERE GasDay IN (DATE '1995-01-01', DATE '1999-01-01') AND Dataset <> 'NN'"),
     "run_range": _run(""),
     "run_day": _run("WHERE GasDay = DATE '1999-01-01'"),
     "stream_ingest": _run(""),
 }
 
+
+def _shown(report: str, query: str, columns: list[str]) -> str:
+    values = [f"CAST({columns[k]} AS VARCHAR)" if k < len(columns) else "NULL" for k in range(4)]
+    listed = ", ".join(f"{value} AS value{k + 1}" for k, value in enumerate(values))
+    return f"SELECT '{report}' AS report, {listed} FROM ({query})"
+
+
+ORACLES["reports"] = " UNION ALL ".join([
+    _shown("summary", ORACLES["audit_run_summary"], ["pipeline", "is_total", "total", "succeeded"]),
+    _shown("failures", ORACLES["audit_failures"], ["pipe_code", "dataset_type", "date", "error"]),
+    _shown("details", ORACLES["audit_dataset_detail"], ["dataset_type", "pipe_code", "raw_records", "silver_records"]),
+    _shown("missing", ORACLES["missing_downloads"], ["pipe_code", "dataset_type"]),
+    _shown("changes", ORACLES["pipe_changes"], ["change_type", "pipe_code", "live_name", "config_name"]),
+])

@@ -260,29 +260,41 @@ def upsert_locations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _monthly_gold(spark: SparkSession, sf: str) -> DataFrame:
-    pipes = t.pipes(spark, sf)
-    oa = O.point_silver(t.monthly(t.oa_raw(spark, sf)), pipes, "Loc")
-    nn = O.point_silver(t.nn_monthly(t.nn_raw(spark, sf)), pipes, "Loc_Prop")
-    return O.merge_gold(O.gold_oa(oa), O.gold_nn(nn), run_ts=t.RUN_TS)
+def _point_gold(spark: SparkSession, sf: str) -> DataFrame:
+    return O.merge_gold(oa_gold(spark, sf), nn_gold(spark, sf), run_ts=t.RUN_TS)
 
 
-def replace_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """All months of OA and NN, then every second month of OA posted anew, twice."""
-    path = new_folder(spark, "gold")
-    gold = materialise(_monthly_gold(spark, sf), "posted")
-    again = gold.where((F.col("Dataset") == "OA") & (F.col("GasMonth") % 2 == 0)).withColumn(
+def _posted_again(gold: DataFrame) -> DataFrame:
+    """Every second month of OA with other figures, and fewer of them."""
+    return gold.where((F.col("Dataset") == "OA") & (F.col("GasMonth") % 2 == 0)).withColumn(
         "OperatingCapacity", F.col("OperatingCapacity") + 1
     ).where("IT = 'F'")
+
+
+def replace_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """All days of OA and NN, then the days of every second month of OA posted anew, twice."""
+    path = new_folder(spark, "gold")
+    gold = materialise(_point_gold(spark, sf), "posted")
+    again = _posted_again(gold)
     sinks.replace_slices(gold, path)
     sinks.replace_slices(again, path)
     sinks.replace_slices(again, path)
     return sinks.read_gold(spark, path)
 
 
+def merge_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through the write that makes rows distinct; days that lost all rows are marked as posted."""
+    path = new_folder(spark, "gold")
+    gold = materialise(_point_gold(spark, sf), "posted")
+    even = gold.where((F.col("Dataset") == "OA") & (F.col("GasMonth") % 2 == 0))
+    sinks.merge_slices(gold.unionByName(gold), path)
+    sinks.merge_slices(_posted_again(gold), path, posted=even)
+    return sinks.read_gold(spark, path)
+
+
 def cluster_months(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "gold")
-    sinks.replace_slices(_monthly_gold(spark, sf), path)
+    sinks.replace_slices(_point_gold(spark, sf), path)
     written = sinks.read_gold(spark, path)
     months = [row.GasMonth for row in written.select("GasMonth").distinct().collect()]
     latest = written.agg(F.max("GasDay")).first()[0]
@@ -377,15 +389,7 @@ def audit_failures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipe_changes(spark: SparkSession, sf: str) -> DataFrame:
-    customer = t.table(spark, sf, "customer")
-    labels = customer.where("c_custkey % 5 <> 0").selectExpr(
-        "concat(CASE WHEN c_custkey % 7 = 0 THEN 'New ' ELSE '' END, c_name, '  (c', c_custkey, ')') AS label"
-    )
-    live = labels.select(L.pipe_label(F.col("label")).alias("p")).select("p.*")
-    known = customer.where("c_custkey % 3 <> 0").selectExpr(
-        "concat('C', c_custkey) AS PipeCode", "c_name AS PipeName"
-    )
-    return O.pipe_changes(live, known)
+    return O.pipe_changes(t.live_pipes(spark, sf), t.configured_pipes(spark, sf))
 
 
 def missing_downloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -411,8 +415,8 @@ def failed_worklist(spark: SparkSession, sf: str) -> DataFrame:
 def _landing(spark: SparkSession, sf: str) -> dict[str, str]:
     root = new_folder(spark, "landing")
     landing = {d: f"{root}/{d}" for d in (fixed.OA, fixed.NN, fixed.SG, fixed.META)}
-    t.write_oa_postings(t.monthly(t.oa_raw(spark, sf)), landing[fixed.OA])
-    t.write_nn_postings(t.nn_monthly(t.nn_raw(spark, sf)), landing[fixed.NN])
+    t.write_oa_postings(t.oa_raw(spark, sf), landing[fixed.OA])
+    t.write_nn_postings(t.nn_raw(spark, sf), landing[fixed.NN])
     t.write_sg_postings(t.sg_posted(spark, sf), landing[fixed.SG])
     t.write_meta_postings(t.meta_raw(spark, sf), landing[fixed.META])
     return landing
@@ -452,6 +456,65 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.read_gold(spark, tables.gold)
 
 
+def run_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Yesterday's and today's points, and the no-notice figures of four days ago."""
+    pipes, tables = _installation(spark, sf)
+    plans.run_daily(spark, _landing(spark, sf), pipes, tables, t.DAILY_TS, "Network")
+    return sinks.read_gold(spark, tables.gold)
+
+
+def repost(spark: SparkSession, sf: str) -> DataFrame:
+    """Some pipes post all their days again: only the later figures count, other pipes stay."""
+    pipes, tables = _installation(spark, sf)
+    path = new_folder(spark, "landing")
+    t.write_oa_postings(t.oa_raw(spark, sf), path)
+    t.write_oa_postings(t.reposted(t.oa_raw(spark, sf)), path, "0900")
+    plans.run_range(
+        spark, {fixed.OA: path}, pipes, tables, date(1990, 1, 1), date(2010, 1, 1), t.RUN_TS, "Network"
+    )
+    return sinks.read_gold(spark, tables.gold)
+
+
+def stream_repost(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as files land: the first postings, then the second ones."""
+    pipes, tables = _installation(spark, sf)
+    path, stream = new_folder(spark, "landing"), new_folder(spark, "stream")
+    for rows, time in ((t.oa_raw(spark, sf), "0800"), (t.reposted(t.oa_raw(spark, sf)), "0900")):
+        t.write_oa_postings(rows, path, time)
+        streaming.ingest(spark, {fixed.OA: path}, pipes, tables, "Network", stream, run_ts=t.RUN_TS)
+    return sinks.read_gold(spark, tables.gold)
+
+
+def replay_failed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days far apart that failed for every pipe: they are run, the days between are not."""
+    pipes, tables = _installation(spark, sf)
+    log = new_folder(spark, "failures")
+    days = F.explode(F.array(F.lit(date(1995, 1, 1)), F.lit(date(1999, 1, 1)))).alias("scrape_date")
+    sources.append_failures(pipes.select(F.col("PipeCode").alias("pipecode"), F.lit("ALL").alias("type"), days), log)
+    plans.replay_failed(spark, log, _landing(spark, sf), pipes, tables, t.RUN_TS, "Network")
+    return sinks.read_gold(spark, tables.gold)
+
+
+def reports(spark: SparkSession, sf: str) -> DataFrame:
+    """The five tables of the report, one below the other, as text."""
+    found = O.reports(
+        t.results(spark, sf), t.runs(spark, sf), audit_dataset_detail(spark, sf), t.availability(spark, sf),
+        t.live_pipes(spark, sf), t.configured_pipes(spark, sf),
+    )
+    shown = {
+        "summary": ["pipeline", "is_total", "total", "succeeded"], "failures": ["pipe_code", "dataset_type", "date", "error"],
+        "details": ["dataset_type", "pipe_code", "raw_records", "silver_records"], "missing": ["pipe_code", "dataset_type"],
+        "changes": ["change_type", "pipe_code", "live_name", "config_name"],
+    }
+    return O.union_by_name(*[
+        getattr(found, name).select(
+            F.lit(name).alias("report"),
+            *[(F.col(columns[k]) if k < len(columns) else F.lit(None)).cast("string").alias(f"value{k + 1}") for k in range(4)],
+        )
+        for name, columns in shown.items()
+    ])
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in [
@@ -464,5 +527,6 @@ QUERIES: dict[str, Query] = {
         audit_raw_counts, audit_raw_files, audit_silver_counts, audit_new_locations,
         audit_dataset_detail, audit_run_summary, audit_failures, pipe_changes,
         missing_downloads, failed_worklist, run_range, run_day, stream_ingest,
+        merge_slices, run_daily, repost, stream_repost, replay_failed, reports,
     ]
 }

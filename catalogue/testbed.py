@@ -7,8 +7,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linepack.functions import pipe_label
+
 RUN_TS = datetime(2026, 1, 15, 6, 30)
 RUN_DAY = date(2026, 1, 15)
+DAILY_TS = datetime(1998, 3, 15, 6, 30)
 PARENT = "AFRICA"
 
 
@@ -34,14 +37,8 @@ def pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table that comes in fewer splits than there are cores, over all cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, supplier = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "supplier")
+    lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
     return lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
 
 
@@ -82,7 +79,7 @@ def oa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No-notice activity: an allocation per order."""
-    orders, customer = spread(table(spark, sf_dir, "orders")), table(spark, sf_dir, "customer")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
         "date_format(o_orderdate, 'MM/dd/yyyy HH:mm') AS Effective_From_DateTime",
         "concat(c_custkey, ' ') AS Loc_Prop",
@@ -217,6 +214,20 @@ def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def live_pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipes as the site lists them: a label with name and code."""
+    labels = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").selectExpr(
+        "concat(CASE WHEN c_custkey % 7 = 0 THEN 'New ' ELSE '' END, c_name, '  (c', c_custkey, ')') AS label"
+    )
+    return labels.select(pipe_label(F.col("label")).alias("p")).select("p.*")
+
+
+def configured_pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").selectExpr(
+        "concat('C', c_custkey) AS PipeCode", "c_name AS PipeName"
+    )
+
+
 # Postings as files ------------------------------------------------------------
 
 def _block(year: str) -> str:
@@ -224,8 +235,9 @@ def _block(year: str) -> str:
     return f"CAST(1995 + 4 * ((CAST({year} AS int) - 1995) DIV 4) AS int)"
 
 
-_OA_FILE = """concat(PipeCode, '_OA_', CAST(posted_year AS string), '0101_INTRDY_',
-    CAST(posted_year AS string), '-01-01_0800.csv')"""
+def _oa_file(time: str) -> str:
+    return f"""concat(PipeCode, '_OA_', CAST(posted_year AS string), '0101_INTRDY_',
+        CAST(posted_year AS string), '-01-01_{time}.csv')"""
 
 
 def _write_postings(rows: DataFrame, path: str) -> None:
@@ -242,19 +254,6 @@ def _write_postings(rows: DataFrame, path: str) -> None:
     )
 
 
-def monthly(oa: DataFrame) -> DataFrame:
-    """Point rows with every gas day set to the first of its month, to have fewer slices."""
-    return oa.withColumn("Eff_Gas_Day", F.expr(
-        "concat(substring(Eff_Gas_Day, 1, 3), if(Eff_Gas_Day RLIKE '^[0-9]', '01', 'xx'), substring(Eff_Gas_Day, 6))"
-    ))
-
-
-def nn_monthly(nn: DataFrame) -> DataFrame:
-    return nn.withColumn("Effective_From_DateTime", F.expr(
-        "concat(substring(Effective_From_DateTime, 1, 3), '01', substring(Effective_From_DateTime, 6))"
-    ))
-
-
 def posted(raw: DataFrame, dataset: str, day: str) -> DataFrame:
     """Rows with the name of the posting they could come from."""
     return raw.withColumn("PostingFile", F.expr(
@@ -262,11 +261,16 @@ def posted(raw: DataFrame, dataset: str, day: str) -> DataFrame:
     ))
 
 
-def write_oa_postings(rows: DataFrame, path: str) -> None:
+def reposted(oa: DataFrame) -> DataFrame:
+    """What the pipes of even nations post a second time, with another mark on every row."""
+    return oa.where("PipeCode <> 'ZZ' AND CAST(TSP AS int) % 2 = 0").withColumn("IT", F.lit("X"))
+
+
+def write_oa_postings(rows: DataFrame, path: str, time: str = "0800") -> None:
     """OA files by pipe and four years; later files have other columns in another order."""
     rows = (
         rows.withColumn("posted_year", F.expr(f"{_block('substring(Post_Date, 7, 4)')}"))
-        .withColumn("posting", F.expr(_OA_FILE))
+        .withColumn("posting", F.expr(_oa_file(time)))
         .drop("PipeCode")
     )
     early = rows.where("posted_year < 1999").drop("posted_year")

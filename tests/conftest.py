@@ -18,6 +18,7 @@ SESSION = (
     .config("spark.ui.enabled", "false")
     .config("spark.ui.showConsoleProgress", "false")
     .config("spark.driver.memory", "8g")
+    .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
     .config("spark.sql.session.timeZone", "UTC")
     .getOrCreate()
 )
