@@ -22,6 +22,7 @@ def plan(df, mode="formatted") -> str:
 def test_no_python_and_broadcast_pipes(spark, name):
     text = plan(queries()[name](spark, SF))
     assert not PYTHON.search(text)
+    assert "BroadcastHashJoin" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
@@ -57,12 +58,33 @@ def test_merging_slices_shuffles_rows_once(spark, tmp_path):
     """The exchange by slice and part also serves the distinct."""
     from pyspark.sql import functions as F
 
-    path = str(tmp_path / "facts")
+    from linepack.sinks import gold
+
+    path, counted = str(tmp_path / "facts"), str(tmp_path / "sizes")
     queries()["nn_gold"](spark, SF).write.parquet(path)
     facts = spark.read.parquet(path)
-    cut = facts.withColumn("_part", F.pmod(F.xxhash64(*facts.columns), F.lit(4)))
-    text = plan(cut.repartition("GasMonth", "Dataset", "GasDay", "_part").distinct(), "simple")
-    assert len(re.findall(r"Exchange ", text)) == 1
+    columns = gold.slice_columns()
+    facts.groupBy(*columns).agg(F.count("*").alias("_parts")).write.parquet(counted)
+    text = plan(gold.distinct_by_slice(facts, spark.read.parquet(counted), columns), "simple")
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "BroadcastHashJoin" in text
+
+
+def test_merging_evaluates_the_facts_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from linepack import sinks
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    facts = queries()["nn_gold"](spark, SF).cache()
+    rows = facts.count()
+    sinks.merge_slices(facts.withColumn("OperatingCapacity", counted.asNondeterministic()("OperatingCapacity")), str(tmp_path / "gold"))
+    assert seen.value == rows
 
 
 def test_profiling_hashes_and_never_sorts_lines(spark, tmp_path):
