@@ -16,7 +16,11 @@ def test_summary_of_no_results_is_zero(spark):
     )
     results = spark.createDataFrame([("a", True), ("a", False)], "pipeline string, success boolean")
     got = {r.pipeline: tuple(r)[1:] for r in O.run_summary(results, runs).collect()}
-    assert got == {"a": (2, 1, 1, 60.0, 50.0), "b": (0, 0, 0, 0.0, 0.0), None: (2, 1, 1, 60.0, 50.0)}
+    assert got == {
+        "a": (False, 2, 1, 1, 60.0, 50.0), "b": (False, 0, 0, 0, 0.0, 0.0), None: (True, 2, 1, 1, 60.0, 50.0),
+    }
+    nameless = runs.withColumn("pipeline", F.lit(None).cast("string"))
+    assert sorted(r.is_total for r in O.run_summary(results, nameless).collect()) == [False, True]
 
 
 def test_failures_name_an_unknown_error(spark):
