@@ -8,12 +8,14 @@ import tempfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepack.shared import materialise, new_folder
 
-__all__ = ["materialise", "new_folder", "free_name", "named", "ship", "text_rows", "keep_keys", "slices"]
+__all__ = ["materialise", "new_folder", "free_name", "named", "ship", "text_rows", "keep_keys", "slices", "sub_batches"]
 
 _shipped: set[str] = set()
 
@@ -85,3 +87,11 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def sub_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces whose texts take ``most`` bytes or are one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for start, end in slices(sizes, most):
+            yield batch.slice(start, end - start)

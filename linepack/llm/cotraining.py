@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import free_name, named, ship
+from .common import free_name, named, ship, sub_batches
 
 #: Labelled rows, and unlabelled rows, that models are fitted on at most.
 LABELLED_ROWS = 10_000
@@ -214,7 +214,7 @@ def _views(batch: pa.RecordBatch) -> tuple[list[list[float]], list[list[float]]]
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sub_batches(batches):
         content, metadata = _views(batch)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("good"),
@@ -232,7 +232,7 @@ def with_scores(docs: DataFrame, model: CoTrained, names: tuple[str, str, str])
     schema = StructType([*docs.schema.fields, *[StructField(n, DoubleType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             content, metadata = _views(batch)
             p = model.scores(np.array(content), np.array(metadata)) if batch.num_rows else np.zeros((0, 3))
             yield pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_rows
+from .common import sub_batches, text_rows
 
 #: Phrases and their labels.
 PHRASES = {
@@ -142,7 +142,7 @@ def block_frequency(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
-        for batch in batches:
+        for batch in sub_batches(batches):
             for text in batch.column("text").to_pylist():
                 for line in text.split("\n"):
                     seen.update(vocabulary.intersection(words(line)))
@@ -173,7 +173,7 @@ def scan(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, th
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             n, places, matches = [], [], []
             for text in batch.column("text").to_pylist():
                 found: list[bytes] = []

@@ -14,22 +14,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, text_rows
+from .common import slices, sub_batches, text_rows
 from .pieces import PartMemo
 
 #: Characters of a block.
 BLOCK_CHARS = 4_000_000
 #: Pairs whose merge is remembered.
-PAIR_LIMIT = 1_000_000
+PAIR_LIMIT = 300_000
+#: Text parts whose ids are remembered.
+PARTS = 300_000
 
 
 class MergeReplay:
@@ -47,8 +49,8 @@ class MergeReplay:
         self.of_pair = np.array([self.ranks.get(bytes(divmod(i, 256)), -1) for i in range(65536)])
         self.pairs: dict[int, int] = {}
 
-    def encode(self, pieces: Sequence[str]) -> list[tuple[int, ...]]:
-        """Ids of each piece."""
+    def encode(self, pieces: Sequence[str]) -> list[bytes]:
+        """Ids of each piece, as 32-bit numbers."""
         raw = [p.encode() for p in pieces]
         whole = [self.ranks.get(r) for r in raw]
         ends = np.cumsum([len(r) + 1 for r, w in zip(raw, whole, strict=True) if w is None], dtype=np.int64)
@@ -56,14 +58,14 @@ class MergeReplay:
         if len(self.pairs) > PAIR_LIMIT:
             self.pairs = {}
         self._replay(symbols, pair, index)
-        out: list[tuple[int, ...]] = []
+        out: list[bytes] = []
         start, replayed = 0, iter(ends.tolist())
         for w in whole:
             if w is not None:
-                out.append((w,))
+                out.append(array("I", (w,)).tobytes())
                 continue
             end = next(replayed)
-            out.append(tuple([s for s in symbols[start:end] if s >= 0]))
+            out.append(array("I", [s for s in symbols[start:end] if s >= 0]).tobytes())
             start = end
         return out
 
@@ -134,24 +136,19 @@ class MergeReplay:
         return b"".join(map(self.table.__getitem__, ids))
 
 
-def _part(ids: list[tuple[int, ...]], text: list[str]) -> tuple[tuple[int, ...], str]:
-    joined = ids[0] if len(ids) == 1 else tuple(chain.from_iterable(ids))
-    return joined, " ".join(map(text.__getitem__, joined))
-
-
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> tuple[MergeReplay, PartMemo]:
     replay = MergeReplay(path)
-    return replay, PartMemo(pattern, replay.encode, lambda ids: _part(ids, replay.text), limit=500_000)
+    return replay, PartMemo(pattern, replay.encode, b"".join, limit=PARTS)
 
 
-def encode_texts(texts: Sequence[str], path: str, pattern: str) -> Iterator[tuple[tuple[int, ...], str]]:
+def encode_texts(texts: Sequence[str], path: str, pattern: str) -> Iterator[tuple[list[int], str]]:
     """The ids of each text, as numbers and as decimal text."""
-    _, memo = codec(path, pattern)
+    replay, memo = codec(path, pattern)
     for start, end in slices([len(t) for t in texts], BLOCK_CHARS):
         for head, tail in memo.values(texts[start:end]):
-            parts = [head, *tail] if head[0] else list(tail)
-            yield tuple(chain.from_iterable([p[0] for p in parts])), " ".join([p[1] for p in parts])
+            ids = np.frombuffer(head + b"".join(tail), np.uint32).tolist()
+            yield ids, " ".join(map(replay.text.__getitem__, ids))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str,
@@ -163,7 +160,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             texts = batch.column("text").to_pylist()
             ids = pa.array([i for i, _ in encode_texts(texts, vocabulary, pattern)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
@@ -193,7 +190,7 @@ def round_trip_digests(docs: DataFrame, vocabulary: str, pattern: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, _ = codec(vocabulary, pattern)
-        for batch in batches:
+        for batch in sub_batches(batches):
             n, of_ids, of_bytes = [], [], []
             for ids, decimal in encode_texts(batch.column("text").to_pylist(), vocabulary, pattern):
                 n.append(len(ids))
@@ -215,19 +212,18 @@ def encoded_with_digests(docs: DataFrame, vocabulary: str, pattern: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, _ = codec(vocabulary, pattern)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, end in slices([len(t) for t in texts], BLOCK_CHARS):
-                own = list(encode_texts(texts[start:end], vocabulary, pattern))
-                lengths = np.cumsum([0, *[len(ids) for ids, _ in own]])
-                flat = np.fromiter(chain.from_iterable([ids for ids, _ in own]), np.int32, int(lengths[-1]))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(start, end - start),
-                    pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), pa.array(flat)),
-                    pa.array(np.diff(lengths)),
-                    pa.array([hashlib.sha256(decimal.encode()).hexdigest() for _, decimal in own], pa.string()),
-                    pa.array([hashlib.sha256(replay.decode(ids)).hexdigest() for ids, _ in own], pa.string()),
-                ], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in sub_batches(batches):
+            flat, lengths, of_ids, of_bytes = array("i"), [0], [], []
+            for ids, decimal in encode_texts(batch.column("text").to_pylist(), vocabulary, pattern):
+                flat.extend(ids)
+                lengths.append(len(flat))
+                of_ids.append(hashlib.sha256(decimal.encode()).hexdigest())
+                of_bytes.append(hashlib.sha256(replay.decode(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"),
+                pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(flat, np.int32))),
+                pa.array(np.diff(lengths)), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string()),
+            ], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return text_rows(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, new_folder, slices, text_rows
+from .common import materialise, new_folder, slices, sub_batches, text_rows
 from .pieces import PartMemo
 
 ROW_TOKENS = 2048
@@ -108,7 +108,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, pattern: str, row_tokens: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, most = _encoder(vocabulary, pattern), 2 * row_tokens
-        for batch in batches:
+        for batch in sub_batches(batches):
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for start, end in slices([len(t) for t in texts], SLICE_CHARS):
                 doc, piece, raw = [], [], []

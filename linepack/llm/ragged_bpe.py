@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, text_rows
+from .common import slices, sub_batches, text_rows
 from .pieces import PartMemo
 
 #: Characters of text that are cut into parts at a time.
@@ -135,7 +135,7 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 10
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             texts = batch.column("text").to_pylist()
             n = pa.array(count_texts(texts, vocabulary, pattern), pa.int64())
             size = pa.array([len(t.encode()) for t in texts], pa.int64())

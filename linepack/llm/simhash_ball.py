@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_keys, materialise, named, text_rows
+from .common import keep_keys, materialise, named, sub_batches, text_rows
 from .components import components
 
 #: Variants of a bucket, about; and variants that a task holds at a time.
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_c
     """doc_id and fp (the fingerprint as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             fps = np.fromiter((fingerprint(t, width) for t in batch.column("text").to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
