@@ -27,11 +27,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_rows
+from .common import materialise, sub_batches, text_rows
 
 WINDOW = 13
 #: Words of a chunk, and entries of a bucket, about.
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 800_000
 BUCKET_WORDS = 300_000
 #: Bits of a window's hash that are compared within a bucket; the lowest bit of 32 says whether it is a block.
 ANCHOR_BITS = 31
@@ -273,7 +273,7 @@ def _squeezed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_hash and the compressed UTF-8 text, as it travels to joins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sub_batches(batches):
             raw = pa.array([squeeze(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), raw], ["doc_id", "text_hash", "raw"])
 
