@@ -420,7 +420,8 @@ ORACLES: dict[str, str] = {
     "replace_slices": _with(*_run_gold(), _gold(), select=f"""
         SELECT {_STAMPED} FROM (
           SELECT DISTINCT * FROM (SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold)
-          WHERE NOT (Dataset = 'OA' AND GasMonth % 2 = 0)
+          WHERE NOT (Dataset = 'OA' AND GasMonth % 2 = 0
+                     AND GasDay IN (SELECT GasDay FROM oa_gold WHERE IT = 'F'))
           UNION ALL
           SELECT DISTINCT * REPLACE (OperatingCapacity + 1 AS OperatingCapacity) FROM oa_gold
           WHERE GasMonth % 2 = 0 AND IT = 'F')"""),
