@@ -31,7 +31,7 @@ BLOCK_CHARS = 4_000_000
 #: Pairs whose merge is remembered.
 PAIR_LIMIT = 300_000
 #: Text parts whose ids are remembered.
-PARTS = 300_000
+PARTS = 600_000
 
 
 class MergeReplay:
