@@ -8,6 +8,9 @@ looked for from its shard's medoid, and where it is found the search widens over
 neighbours in range. Each link is verified in double precision; an audit compares a
 sample with brute force.
 
+Equal vectors of a label go through all of this as one, with their number: they would
+occlude each other in every list of edges. Their links are put back by that number.
+
 Links are counted, not listed: the two shards of a pair agree that the smaller common
 one counts it. A forest over the links goes on to the components.
 """
@@ -42,7 +45,7 @@ BEAM = 8
 #: Vectors whose links are counted by brute force for the audit.
 AUDITED = 256
 
-MEMBER = "label long, centre int, vec_id long, vector array<double>, other int"
+MEMBER = "label long, centre int, vec_id long, vector array<double>, copies long, other int"
 EDGES = "label long, vec_id long, edges array<long>"
 FOUND = "vec_id long, n long, root long"
 
@@ -82,8 +85,8 @@ def _assign(centres: np.ndarray):
                 at = pa.array(np.arange(batch.num_rows)[rows])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("label").take(at), pa.array(own[rows].astype(np.int32)), batch.column("vec_id").take(at),
-                     batch.column("vector").take(at), pa.array(other[rows].astype(np.int32))],
-                    ["label", "centre", "vec_id", "vector", "other"],
+                     batch.column("vector").take(at), batch.column("copies").take(at), pa.array(other[rows].astype(np.int32))],
+                    ["label", "centre", "vec_id", "vector", "copies", "other"],
                 )
 
     return run
@@ -190,7 +193,7 @@ def _search(threshold: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
         ids, x = rows["vec_id"].to_numpy(), _matrix(rows["vector"])
-        centre, other, mine = key[1], rows["other"].to_numpy(), rows["mine"].to_numpy()
+        centre, other, mine, copies = key[1], rows["other"].to_numpy(), rows["mine"].to_numpy(), rows["copies"].to_numpy()
         place = {v: i for i, v in enumerate(ids.tolist())}
         adjacency = [np.array([place[v] for v in e if v in place], np.int64) for e in rows["edges"]]
         entry = int(np.argmax(x @ x.mean(axis=0)))
@@ -199,7 +202,7 @@ def _search(threshold: float):
             found = range_search(x, adjacency, int(q), entry, seen, threshold)
             # A pair with both shards in common is counted in the smaller one only.
             twice = (other[found] == other[q]) & (other[q] < centre)
-            counts[q] = found.size - int(twice.sum())
+            counts[q] = copies[found[~twice]].sum()
             if found.size:
                 label = forest(len(ids), np.full(found.size, q), found, label)
         return pd.DataFrame({"vec_id": ids, "n": counts, "root": ids[label]})[mine | (label != np.arange(len(ids)))]
@@ -241,15 +244,19 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     usable = given.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
     width = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if width is None:
-        return _labelled(given.select("vec_id"), None, None, 1.0)
+        return _labelled(given.select("vec_id"), None, 1.0)
     clean = materialise(
         usable.where(F.size("vector") == width[0]).groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("v"))
         .select("vec_id", "v.*"), "unit-vectors",
     )
-    n = clean.count()
-    sample = _matrix(clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vector").toArrow().column("vector").combine_chunks())
+    # Equal vectors are one node, named by the smallest id; their cosine is 1.
+    nodes = materialise(clean.groupBy("label", "vector").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")), "distinct-vectors")
+    many = nodes.where("copies > 1").select("label", "vector", F.col("vec_id").alias("node"))
+    same = materialise(clean.join(many, ["label", "vector"]).select("vec_id", "node"), "equal-vectors")
+    n = nodes.count()
+    sample = _matrix(nodes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vector").toArrow().column("vector").combine_chunks())
     centres = fit_centres(sample, max(1, min(MOST_CENTRES, len(sample), n // CENTRE_ROWS)))
-    members = materialise(clean.mapInArrow(_assign(centres), MEMBER), "shard-members")
+    members = materialise(nodes.mapInArrow(_assign(centres), MEMBER), "shard-members")
     edges = (
         members.groupBy("label", "centre").applyInPandas(_build, EDGES)
         .groupBy("label", "vec_id").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges"))
@@ -257,26 +264,32 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     edges = materialise(edges, "adjacency")
     # A large shard is searched by several tasks, each with all of it and its own queries.
     sizes = members.groupBy("label", "centre").agg(F.ceil(F.count(F.lit(1)) / TASK_QUERIES).alias("tasks"))
-    nodes = (
+    searched = (
         members.join(edges, ["label", "vec_id"]).join(materialise(sizes, "shard-sizes"), ["label", "centre"])
         .withColumn("task", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)))
         .withColumn("mine", F.pmod(F.xxhash64("vec_id"), F.col("tasks")) == F.col("task")).drop("tasks")
     )
-    found = materialise(nodes.groupBy("label", "centre", "task").applyInPandas(_search(threshold), FOUND), "found-links")
-    counts = materialise(found.groupBy("vec_id").agg(F.sum("n").alias("n_links")), "link-counts")
+    found = materialise(searched.groupBy("label", "centre", "task").applyInPandas(_search(threshold), FOUND), "found-links")
+    linked = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
+    own = nodes.join(linked, "vec_id", "left").select(F.col("vec_id").alias("node"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     met = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
+    own = materialise(own.join(met, "node", "left").select("node", "n_links", F.coalesce("component", "node").alias("component")), "node-links")
+    counts = materialise(
+        own.withColumnRenamed("node", "vec_id").join(same, "vec_id", "left_anti")
+        .unionByName(same.join(own, "node").select("vec_id", "n_links", "component")), "link-counts",
+    )
     audited = clean.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(AUDITED).toArrow()
     truth = clean.mapInArrow(_audit(audited, threshold), "vec_id long, true_links long").groupBy("vec_id").agg(F.sum("true_links").alias("true_links"))
     sums = truth.join(counts, "vec_id", "left").agg(
         F.sum(F.least("true_links", F.coalesce("n_links", F.lit(0)))), F.sum("true_links")
     ).first()
     recall = float(sums[0]) / float(sums[1]) if sums[1] else 1.0
-    return _labelled(given.select("vec_id"), counts, materialise(met, "vector-components"), recall)
+    return _labelled(given.select("vec_id"), counts, recall)
 
 
-def _labelled(rows: DataFrame, counts: DataFrame | None, met: DataFrame | None, recall: float) -> DataFrame:
-    if counts is not None and met is not None:
-        rows = rows.join(counts, "vec_id", "left").join(met.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+def _labelled(rows: DataFrame, counts: DataFrame | None, recall: float) -> DataFrame:
+    if counts is not None:
+        rows = rows.join(counts, "vec_id", "left")
     else:
         rows = rows.withColumns({"n_links": F.lit(None).cast("long"), "component": F.lit(None).cast("long")})
     component = F.coalesce("component", "vec_id")

@@ -232,3 +232,20 @@ def test_vector_links_against_brute_force(spark):
     assert all(got[i].kept == (label[i] == i) for i in label)
     assert got[1004].n_links == got[1000].n_links == 0 and got[1005].audit_recall >= 0.9
     assert pruned_graph.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_links_of_equal_vectors_are_whole(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for copies in (100, 1000, 3):
+        one = rng.normal(size=16)
+        near = one + rng.normal(size=16) * 0.01
+        rows += [(one, 1)] * copies + [(near, 1)] * 2 + [(one, 2)]
+    order = rng.permutation(len(rows)).tolist()
+    rows = [(i, rows[k][0].tolist(), rows[k][1]) for i, k in enumerate(order)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept, r.audit_recall) for r in pruned_graph.near_vectors(frame).collect()}
+    x, label = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (x @ x.T >= 0.98) & (label[:, None] == label)
+    assert got == {i: (int(own.sum()) - 1, int(own.argmax()), int(own.argmax()) == i, 1.0) for i, own in enumerate(linked)}
