@@ -36,8 +36,11 @@ MOST_CENTRES = 256
 #: Vectors of a centre over all labels, and queries of a task, about.
 CENTRE_ROWS = 4096
 TASK_QUERIES = 2048
-#: Vectors compared with each other while edges are chosen.
+#: Vectors compared with each other while edges are chosen, and rows of them at a time.
 LEAF_ROWS = 1024
+BLOCK_ROWS = 256
+#: A leaf's part that holds this share of it is not parted again: its rows are all alike.
+ALIKE = 0.75
 #: Candidates of a vector, its out-edges, and how much nearer an occluding edge must be.
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
 #: Nodes kept while searching.
@@ -112,19 +115,19 @@ def robust_prune(sims: np.ndarray, candidates: np.ndarray, between: np.ndarray)
 
 
 def _leaves(x: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
-    """Overlapping sets of at most about LEAF_ROWS rows: each row is in those of its two nearest pivots."""
-    todo, done = [(np.arange(len(x)), 0)], []
+    """Overlapping sets of at most LEAF_ROWS rows, or more that pivots don't part: each row is in those of its two nearest pivots."""
+    todo, done = [np.arange(len(x))], []
     while todo:
-        rows, depth = todo.pop()
+        rows = todo.pop()
         if rows.size <= LEAF_ROWS:
             done.append(rows)
             continue
-        if depth == 3:  # rows that pivots don't part, such as copies: parted at random
-            done += np.array_split(rng.permutation(rows), -(-rows.size // LEAF_ROWS))
-            continue
         pivots = x[rng.choice(rows, 8, replace=False)]
         near = np.argsort(-(x[rows] @ pivots.T), axis=1)[:, :2]
-        todo += [(own, depth + 1) for k in range(8) if (own := rows[(near == k).any(axis=1)]).size]
+        for k in range(8):
+            own = rows[(near == k).any(axis=1)]
+            if own.size:
+                (todo if own.size < ALIKE * rows.size else done).append(own)
     return done
 
 
@@ -133,15 +136,17 @@ def build_edges(x: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
     out: list[list[np.ndarray]] = [[] for _ in x]
     for rows in _leaves(x, rng):
         own = x[rows]
-        sims = own @ own.T
-        np.fill_diagonal(sims, -2)
         near = min(CANDIDATES, rows.size - 1)
         for i in range(rows.size):
+            if i % BLOCK_ROWS == 0:
+                block = own[i : i + BLOCK_ROWS] @ own.T
+            sims = block[i % BLOCK_ROWS]
+            sims[i] = -2
             # The nearest, and some at random for the long way.
-            at = np.argpartition(-sims[i], near - 1)[:near] if near else np.zeros(0, np.int64)
+            at = np.argpartition(-sims, near - 1)[:near] if near else np.zeros(0, np.int64)
             at = np.unique(np.r_[at, rng.integers(0, rows.size, 8)])
             at = at[at != i]
-            kept = robust_prune(sims[i, at], at, sims[np.ix_(at, at)])
+            kept = robust_prune(sims[at], at, own[at] @ own[at].T)
             out[rows[i]].append(rows[kept])
     ends = [np.unique(np.concatenate(o)) if o else np.zeros(0, np.int64) for o in out]
     back: list[list[int]] = [[] for _ in x]

@@ -249,3 +249,23 @@ def test_links_of_equal_vectors_are_whole(spark):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     linked = (x @ x.T >= 0.98) & (label[:, None] == label)
     assert got == {i: (int(own.sum()) - 1, int(own.argmax()), int(own.argmax()) == i, 1.0) for i, own in enumerate(linked)}
+
+
+def test_neighbours_of_rows_that_pivots_hardly_part_are_candidates(monkeypatch):
+    monkeypatch.setattr(pruned_graph, "LEAF_ROWS", 32)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(3, 16))
+    x = base[rng.integers(0, 3, 4000)] + rng.normal(size=(4000, 16)) * 0.1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argsort(-(x @ x.T), axis=1)[:, 1]
+    together = np.zeros(len(x), bool)
+    for leaf in pruned_graph._leaves(x, rng):
+        together[leaf[np.isin(near[leaf], leaf)]] = True
+    assert together.mean() >= 0.9
+    assert [leaf.size for leaf in pruned_graph._leaves(np.repeat(x[:1], 500, axis=0), rng)][:2] == [500, 500]
+    some = x[:1500]
+    edges_of = pruned_graph.build_edges(some, rng)
+    seen, entry = np.full(len(some), -1), int(np.argmax(some @ some.mean(axis=0)))
+    found = sum(pruned_graph.range_search(some, edges_of, q, entry, seen, 0.9).size for q in range(300))
+    true = int((some[:300] @ some.T >= 0.9).sum()) - 300
+    assert true >= found >= 0.98 * true > 0
