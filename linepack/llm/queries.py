@@ -12,7 +12,9 @@ from . import (
     cotraining,
     digest_mph,
     license_scan,
+    mean_order,
     merge_replay,
+    middle_fill,
     packing,
     pareto_mix,
     pruned_graph,
@@ -74,6 +76,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle_fill.fill_digest(middle_fill.fill_in_middle(_documents(spark, sf_dir)))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_order.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -85,6 +95,8 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packed_rows": op9_packed_rows,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -161,7 +173,53 @@ MIX_PLACE = """, p{n} AS (
         )"""
 
 
+MIDDLE_SQL = """
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), r AS (
+      SELECT doc_id, t, n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS h FROM d
+    ), c AS (
+      SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r
+    ), p AS (
+      SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c
+    )
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256 FROM p"""
+
+
+#: The nearest of the centroids c{n}, and the centroids after it.
+CLUSTER_ROUND = """, a{n} AS (
+      SELECT row, any_value(v.v) AS v, arg_min(c, 16 * gap + c) AS c, min(gap) AS gap FROM (
+        SELECT row, c, v.v, list_sum([(v.v[i] - c{n}.v[i]) * (v.v[i] - c{n}.v[i]) FOR i IN range(1, 65)])::BIGINT AS gap FROM v, c{n}
+      ) AS v GROUP BY row
+    ), c{after} AS (
+      SELECT c, coalesce(list(floor ORDER BY i), any_value(c{n}.v)) AS v FROM c{n} LEFT JOIN (
+        SELECT c, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor
+        FROM (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{n}) GROUP BY c, i
+      ) USING (c) GROUP BY c
+    )"""
+
+CLUSTER_SQL = f"""
+    WITH v AS (
+      SELECT row_number() OVER () AS row, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+      WHERE len(embedding) = 64 AND len([1 FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+    ), c0 AS (
+      SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM v
+      ORDER BY c LIMIT 16
+    ){"".join(CLUSTER_ROUND.format(n=n, after=n + 1) for n in range(4))}
+    SELECT vec_id, a3.c::INTEGER AS cluster, gap AS distance, sum(gap) OVER (PARTITION BY a3.c)::BIGINT AS cluster_inertia,
+           sum(gap) OVER ()::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+    FROM a3 JOIN v USING (row) JOIN c3 ON a3.c = c3.c"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_fill_in_middle": MIDDLE_SQL,
+    "op13_centroid_clustering": CLUSTER_SQL,
     "op7_substring_dedup": SUBSTRING_SQL,
     "op1_license_scan": license_sql(),
     "op3_exact_dedup": rf"""
