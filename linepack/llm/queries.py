@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     block_anchors,
+    context_mixing,
     cotraining,
     digest_mph,
     license_scan,
@@ -80,6 +81,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle_fill.fill_digest(middle_fill.fill_in_middle(_documents(spark, sf_dir)))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scored(_documents(spark, sf_dir))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_order.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_packed_rows": op9_packed_rows,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_lm_scores": op12_lm_scores,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
