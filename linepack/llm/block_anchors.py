@@ -63,6 +63,11 @@ def unpack_longs(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
 
 
+def places(packed: list[bytes] | None) -> np.ndarray:
+    """All places that any of the packed arrays hold, in order."""
+    return np.unique(np.concatenate([unpack_longs(p) for p in packed])) if packed else np.zeros(0, np.int64)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """Two 64-bit hashes of each word."""
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
@@ -127,7 +132,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], with_spots: bool, most: int) -> I
             starts.append(total)
             hashes.append(word_hashes(words))
             if with_spots:
-                spots.append(unpack_longs(spot) + total)
+                spots.append(places(spot) + total)
             total += len(words)
             if total >= most:
                 yield done()
@@ -210,14 +215,13 @@ def _gather(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         raise RuntimeError("the rows of a chunk came in another order when a task was repeated; write the documents first")
     own = own.iloc[0]
     ids, texts, starts = (unpack_longs(own[c]) for c in ("first", "second", "third"))
-    places = [unpack_longs(own["fourth"]), *[unpack_longs(b) for b in rows.loc[rows["kind"] == 0, "first"]]]
-    places = np.unique(np.concatenate(places))
-    owner = np.searchsorted(starts, places, side="right") - 1
-    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if places.size else np.zeros(0, np.int64)
+    found = places([own["fourth"], *rows.loc[rows["kind"] == 0, "first"]])
+    owner = np.searchsorted(starts, found, side="right") - 1
+    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if found.size else np.zeros(0, np.int64)
     docs = owner[cuts]
     return pd.DataFrame({
         "doc_id": ids[docs], "text_hash": texts[docs],
-        "spots": [pack_longs(p - starts[d]) for d, p in zip(docs, np.split(places, cuts[1:]) if cuts.size else [], strict=True)],
+        "spots": [pack_longs(p - starts[d]) for d, p in zip(docs, np.split(found, cuts[1:]) if cuts.size else [], strict=True)],
     })
 
 
@@ -264,9 +268,14 @@ def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _exchange(sent: DataFrame, judge: Callable, label: str) -> DataFrame:
-    """Deal entries to buckets, judge them, and bring the answers back to documents."""
+    """Deal entries to buckets, judge them, and bring the answers back to documents.
+
+    One row for each id and text, however often it is repeated: copies of a row are in
+    several places of chunks, and what is found for any of them holds for all.
+    """
     met = materialise(sent.groupBy("key").applyInPandas(judge, SENT), label)
-    return materialise(met.groupBy("chunk").applyInPandas(_gather, SPOTS), f"{label}-spots")
+    found = met.groupBy("chunk").applyInPandas(_gather, SPOTS)
+    return materialise(found.groupBy("doc_id", "text_hash").agg(F.collect_set("spots").alias("spots")), f"{label}-spots")
 
 
 def _squeezed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -285,12 +294,13 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      chunk_words: int = CHUNK_WORDS, bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """doc_id, text_hash, spots: where windows start that also start in a smaller doc_id.
 
-    ``spots`` are packed (see ``unpack_longs``). Documents without such windows have no row.
+    ``spots`` is a list of packed arrays (see ``places``). One row for each id and text;
+    documents without such windows have none.
     """
     block = (WINDOW + 1) // 2
     plain = text_rows(docs, id_col, text_col)
     size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = min(24, (size // 6 // bucket_words).bit_length())
+    bits = min(64 - ANCHOR_BITS, (size // 6 // bucket_words).bit_length())
     squeezed = _squeezed(docs, id_col, text_col)
     anchors = _exchange(squeezed.mapInArrow(_probe(bits, block, chunk_words), SENT), _meet, "anchors")
     # Sorted, so that a repeated task makes the same chunks.
@@ -313,7 +323,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, gone = (unsqueeze(raw) if raw else b"").split(), 0
             n = len(words)
             if spots is not None:
-                mask = removed_words(n, unpack_longs(spots))
+                mask = removed_words(n, places(spots))
                 gone = int(mask.sum())
                 words = [w for w, m in zip(words, mask.tolist(), strict=True) if not m]
             out.append((n, gone, hashlib.sha256(b" ".join(words)).hexdigest()))
@@ -329,7 +339,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts have no words. A document without id is no reference and loses
     no words. Repeated rows (same id and text) lose the same words, and none to each
-    other, as neither id is smaller. ``docs`` should be a stored table: chunks must come
+    other, as neither id is smaller; each has its row. An empty table gives no rows, other
+    columns are left out. ``docs`` should be a stored table: chunks must come
     in the same order when a task is repeated, else the run stops.
     """
     spots = repeated_windows(docs, id_col, text_col, chunk_words, bucket_words)
@@ -347,7 +358,7 @@ def kept_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             texts, spans = [], []
             for raw, spots in zip(batch.column("raw").to_pylist(), batch.column("spots").to_pylist(), strict=True):
                 words = (unsqueeze(raw) if raw else b"").split()
-                gone = removed_words(len(words), unpack_longs(spots) if spots is not None else np.zeros(0, np.int64))
+                gone = removed_words(len(words), places(spots))
                 edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
                 spans.append([{"first": int(a), "words": int(b - a)} for a, b in zip(edges[::2], edges[1::2], strict=True)])
                 texts.append(b" ".join(w for w, m in zip(words, gone.tolist(), strict=True) if not m).decode())

@@ -197,6 +197,20 @@ def test_substring_dedup_of_awkward_rows(spark):
             assert sum(s.words for s in r.spans) == want[r.doc_id][1]
 
 
+@pytest.mark.parametrize("parts", [1, 4, 8])
+def test_substring_dedup_of_repeated_rows(spark, parts):
+    base = edges.rows()
+    text = next(r[1] for r in base if r[1] and len(r[1].split()) > 100)
+    rows = [r[:2] for r in base] + [(500, "start " + text), *[(501, text + " end")] * 1000, (502, text), (502, "other words only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    want = plain_removal([r for r in dict.fromkeys(rows) if r[0] is not None and r[0] != 502])
+    for chunk_words in (800, block_anchors.CHUNK_WORDS):
+        got = block_anchors.substring_dedup(docs, chunk_words=chunk_words).collect()
+        assert len(got) == len(rows)
+        assert all((r.n_words, r.n_removed, r.kept_sha256) == want[r.doc_id] for r in got if r.doc_id not in (None, 502))
+        assert sorted(r.n_removed > 0 for r in got if r.doc_id == 502) == [False, True]
+
+
 def vectors():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
