@@ -8,6 +8,7 @@ import random
 import re
 
 import edges
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -124,14 +125,48 @@ def test_packed_rows_hold_every_token_once(spark, tmp_path):
     assert whole == {d: ids for d, ids in want.items() if ids}
     tokens = sum(map(len, want.values()))
     assert len(rows) <= tokens / 128 + len({r.shard for r in rows}) + 1
-    matrices = packing.write_matrices(packed, str(tmp_path / "matrices"), 128).collect()
-    assert sum(m.n_rows for m in matrices) == len(rows)
+    width = packing.id_type(RANKS, PATTERN)
+    matrices = packing.write_matrices(spark.read.parquet(written), str(tmp_path / "matrices"), width, 50256, 128, 20_000).collect()
+    assert sum(m.n_rows for m in matrices) == len(rows) and sum(m.n_tokens for m in matrices) == tokens
+    again: dict[int, dict[int, list[int]]] = {}
     for m in matrices:
         assert len(m.matrix) == m.n_rows * 256 and m.cu_seqlens[-1] == m.n_rows * 128 and m.position_resets == m.cu_seqlens[:-1]
+        flat = [int.from_bytes(m.matrix[i : i + 2], "little") for i in range(0, len(m.matrix), 2)]
+        assert set(range(0, len(flat), 128)) <= set(m.position_resets)
+        for doc, piece, a, b in zip(m.doc_ids, m.pieces, m.cu_seqlens[:-1], m.cu_seqlens[1:], strict=True):
+            if doc is None:
+                assert set(flat[a:b]) == {50256}
+            else:
+                again.setdefault(doc, {})[piece] = flat[a:b]
+    assert again == found
     assert packing.packed_documents(edges.nothing(spark), RANKS, PATTERN).count() == 0
     assert packing.packed_documents(edges.documents(spark), RANKS, PATTERN).count() > 0
 
 
+def test_packing_spreads_rows_without_id_and_repeated_rows(spark, tmp_path):
+    rows = [(None, f"text number {k} " * 3) for k in range(2000)] + [(7, "the same row " * 4)] * 2000
+    pieces = packing.token_pieces(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, PATTERN, 64)
+    pieces.write.parquet(str(tmp_path / "pieces"))
+    packed = packing.pack(spark.read.parquet(str(tmp_path / "pieces")), 64, shard_tokens=500).collect()
+    sizes: dict[int, int] = {}
+    whole: dict[int, dict[int, bytes]] = {}
+    for row in packed:
+        sizes[row.shard] = sizes.get(row.shard, 0) + row.n_tokens
+        for source, piece, a, b in zip(row.source_rows, row.pieces, row.cu_seqlens[:-1], row.cu_seqlens[1:], strict=True):
+            assert piece not in whole.setdefault(source, {})
+            whole[source][piece] = row.ids[2 * a : 2 * b]
+    assert max(sizes.values()) < 1000
+    encoding = library()
+    got = sorted(encoding.decode(np.frombuffer(b"".join(p for _, p in sorted(own.items())), "<u2").tolist()) for own in whole.values())
+    assert got == sorted(t for _, t in rows)
+
+
+def test_packing_chooses_the_width_of_ids(tmp_path):
+    wide = tmp_path / "wide.tiktoken"
+    wide.write_bytes(b"".join(base64.b64encode(bytes([b])) + b" %d\n" % (b + 70_000) for b in range(256)))
+    assert packing.id_type(str(wide), PATTERN).itemsize == 4 and packing.id_type(RANKS, PATTERN).itemsize == 2
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
