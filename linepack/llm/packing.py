@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, new_folder, sub_batches, text_rows
+from .common import new_folder, sub_batches, text_rows
 
 ROW_TOKENS = 2048
 #: Tokens of a packing shard, about.
@@ -207,7 +207,7 @@ def write_matrices(pieces: DataFrame, folder: str, width: np.dtype, pad: int, ro
             "doc_ids": [of_doc], "source_rows": [of_source], "pieces": [of_piece],
         })
 
-    _dealt(pieces, shard_tokens).groupBy("shard").applyInPandas(run, MATRIX).write.parquet(folder)
+    _dealt(pieces, shard_tokens).groupBy("shard").applyInPandas(run, MATRIX).write.option("compression", "zstd").parquet(folder)
     return pieces.sparkSession.read.schema(MATRIX).parquet(folder)
 
 
@@ -221,7 +221,9 @@ def packed_documents(docs: DataFrame, vocabulary: str, pattern: str, row_tokens:
     table gives no rows. Other columns are ignored.
     """
     encoding, width = _encoder(vocabulary, pattern)
-    pieces = materialise(token_pieces(docs, vocabulary, pattern, row_tokens, id_col, text_col), "token-pieces")
+    written = new_folder(docs.sparkSession, "token-pieces")
+    token_pieces(docs, vocabulary, pattern, row_tokens, id_col, text_col).write.option("compression", "zstd").parquet(written)
+    pieces = docs.sparkSession.read.schema(PIECE).parquet(written)
     pad = encoding.max_token_value + 1 if pad is None else pad
     return write_matrices(pieces, folder or new_folder(docs.sparkSession, "matrices"), width, pad, row_tokens)
 
