@@ -12,6 +12,7 @@ from .text import (
     pipe_of_posting,
     post_time_of_posting,
     posting_name,
+    read_path,
     strip,
     unit_of_posting,
     without_null_marks,
@@ -32,6 +33,6 @@ __all__ = [
     "batch", "date_of_posting", "day_text", "file_safe", "gas_month", "gf_loc_id",
     "gf_number", "last_part", "loc_id", "mapped", "nn_day", "nn_flow", "nn_posting_day",
     "null_or_empty", "number", "oa_day", "oa_flow", "pipe_id", "pipe_label",
-    "pipe_of_gf_loc_id", "pipe_of_posting", "post_time_of_posting", "posting_name", "quantity", "seconds_between",
+    "pipe_of_gf_loc_id", "pipe_of_posting", "post_time_of_posting", "posting_name", "quantity", "read_path", "seconds_between",
     "sg_direction", "sg_flow", "signed", "strip", "unit_of_posting", "without_null_marks", "zfill",
 ]

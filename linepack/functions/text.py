@@ -36,6 +36,11 @@ def last_part(path: Column, separator: str = "/") -> Column:
     return F.element_at(F.split(path, separator), -1)
 
 
+def read_path(path: Column) -> Column:
+    """A reader's ``_metadata.file_path``, which is a URL, as the path that the file system lists."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def posting_name(path: Column) -> Column:
     """Name of the posting a data file belongs to.
 

@@ -12,13 +12,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import (
     conform,
-    current_postings,
     daily_range,
     dataset_detail,
     file_counts,
@@ -32,6 +31,7 @@ from ..operators import (
     new_location_counts,
     new_point_locations,
     new_segment_locations,
+    of_files,
     point_rejects,
     point_silver,
     raw_counts,
@@ -48,9 +48,17 @@ from ..operators.silver import LOCATION_COLUMN
 from ..schemas import REJECTS, STORED_LOCATIONS
 from ..shared import materialise
 from ..sinks import (
+    any_entered,
+    current_files,
+    enter_days,
+    enter_files,
+    left_days,
     merge_slices,
+    new_files,
+    posting_days,
     read_bronze,
     read_bronze_run,
+    read_bronze_runs,
     read_silver,
     read_version,
     write_bronze,
@@ -60,6 +68,8 @@ from ..sinks import (
 from ..sources import (
     append_failures,
     inspect_segments,
+    literal_path,
+    posted_files,
     read_points,
     read_segments,
     unreadable_segments,
@@ -75,6 +85,14 @@ class Tables:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
+    @property
+    def postings(self) -> str:
+        return f"{self.root}/postings"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver"
@@ -110,26 +128,70 @@ def run_name(run_ts: datetime, parent: str) -> str:
 
 
 def land(
-    spark: SparkSession, landing: dict[str, str | list[str]], tables: Tables, run: str
-) -> dict[str, DataFrame]:
-    """Read the posted files, write them to bronze and go on from there.
+    spark: SparkSession, landing: dict[str, str | list[str]], tables: Tables, run: str,
+    files: dict[str, DataFrame] | None = None,
+) -> None:
+    """Read the posted files that no other run has landed, and write their rows to bronze.
 
-    Segment files that cannot be read are listed in the audit tables.
+    ``files`` (path, length, modificationTime) are taken in place of a listing. What was
+    landed is entered last: files in the ledger, and the gas days of each posting in an
+    index that later runs find current postings and touched slices by. Segment files that
+    cannot be read are listed in the audit tables. To the driver come the names of new
+    files, and none at all while the ledger is empty.
     """
-    landed = {}
-    for dataset, paths in landing.items():
-        if dataset == fixed.SG:
-            files = inspect_segments(spark, paths)
-            raw = read_segments(spark, paths, files)
-            write_run(unreadable_segments(spark, paths, files), f"{tables.audit}/unreadable", run)
+    for dataset, where in landing.items():
+        listed = posted_files(spark, where) if files is None else files[dataset]
+        fresh = materialise(new_files(listed, tables.ledger, dataset, run), "new-files")
+        if fresh.isEmpty():
+            continue
+        if files is None and not any_entered(spark, tables.ledger, dataset, run):
+            paths = where
         else:
-            raw = read_points(spark, paths)
-        if raw is not None:
-            write_bronze(raw, tables.bronze, dataset, run)
-            rows = read_bronze_run(spark, tables.bronze, dataset, run)
-            if rows is not None:
-                landed[dataset] = rows
-    return landed
+            paths = [literal_path(row.path) for row in fresh.where("length > 0").select("path").collect()]
+        if paths:
+            _land_files(spark, dataset, paths, tables, run)
+        enter_files(fresh, tables.ledger, dataset, run)
+
+
+def _land_files(spark: SparkSession, dataset: str, paths: str | list[str], tables: Tables, run: str) -> None:
+    if dataset == fixed.SG:
+        files = inspect_segments(spark, paths)
+        raw = read_segments(spark, paths, files)
+        write_run(unreadable_segments(spark, paths, files), f"{tables.audit}/unreadable", run)
+    else:
+        raw = read_points(spark, paths)
+    if raw is None:
+        return
+    write_bronze(raw, tables.bronze, dataset, run)
+    rows = read_bronze_run(spark, tables.bronze, dataset, run)
+    if rows is not None:
+        enter_days(rows, tables.postings, dataset, run)
+
+
+def current_rows(spark: SparkSession, tables: Tables, dataset: str, days: DataFrame | None = None, run: str | None = None) -> DataFrame:
+    """Rows of the current postings: of ``days``, and without a day if ``run`` landed them; else all.
+
+    Which postings are current is decided over all that was ever landed, before days are
+    chosen. Only runs that brought current rows of the days are opened, and of them only
+    files whose statistics reach the days, so reading does not grow with the history.
+    ``days`` is a written table that Spark knows to be small.
+    """
+    index = posting_days(spark, tables.postings, dataset)
+    files = materialise(current_files(index), "current-postings")
+    wanted = of_files(index, files)
+    own = F.col("GasDay").isNull() & (F.col("run") == F.lit(run))
+    if days is not None:
+        dated = wanted.join(days, "GasDay", "left_semi").select("run")
+        wanted = dated if run is None else dated.unionByName(wanted.where(own).select("run"))
+    runs = sorted(row.run for row in wanted.select("run").distinct().collect())
+    if not runs:
+        return read_bronze(spark, tables.bronze, dataset).where("false").drop("run")
+    rows = read_bronze_runs(spark, tables.bronze, dataset, runs)
+    if days is not None:
+        span = days.agg(F.min("GasDay").alias("first"), F.max("GasDay").alias("last")).first()
+        dated = rows.where(F.col("GasDay").between(F.lit(span["first"]), F.lit(span["last"]))).join(days, "GasDay", "left_semi")
+        rows = dated if run is None else dated.unionByName(rows.where(own))
+    return of_files(rows, files).drop("run")
 
 
 def to_silver(raw: DataFrame, pipes: DataFrame, dataset: str) -> DataFrame:
@@ -155,14 +217,14 @@ def to_gold(
     })
 
 
-def posted_slices(raw: dict[str, DataFrame], parent: str) -> DataFrame:
-    """The slices that postings hold rows of."""
+def posted_slices(days: dict[str, DataFrame], parent: str) -> DataFrame:
+    """The slices of the gas days of each dataset."""
     parts = [
         rows.select(
             gas_month(F.col("GasDay")).alias("GasMonth"), F.lit(dataset).alias("Dataset"), "GasDay",
             F.lit(parent).alias("ParentPipe"),
         ).where(F.col("GasDay").isNotNull()).distinct()
-        for dataset, rows in raw.items()
+        for dataset, rows in days.items()
     ]
     return union_by_name(*parts)
 
@@ -227,12 +289,6 @@ def days_of(dataset: str, start: date, end: date, as_of: date) -> tuple[date, da
     return min(start, latest), min(end, latest)
 
 
-def _of_days(raw: DataFrame, start: date, end: date) -> DataFrame:
-    """Rows of the days, and rows without a readable day so that they get rejected by name."""
-    day: Column = F.col("GasDay")
-    return raw.where(day.between(F.lit(start), F.lit(end)) | day.isNull())
-
-
 def run_range(
     spark: SparkSession,
     landing: dict[str, str | list[str]],
@@ -251,8 +307,10 @@ def run_range(
 
     ``landing`` names the folder (or files) of each dataset. No-notice postings are
     taken for the days they can be there for, four days before the run at the latest.
-    Of postings of one unit only the newest counts; rows of other days wait for
-    their own run. ``keep_run_gold`` also keeps the run's gold rows as a table of
+    Files that another run has landed are not read again. Of postings of one unit only the
+    newest ever landed counts; the days that an older one held are built anew too. Rows of
+    other days wait for their own run. Rows without a readable day are rejected by
+    name in the run that landed them. ``keep_run_gold`` also keeps the run's gold rows as a table of
     their own. With ``availability`` the datasets that were not delivered are listed,
     and of a run over one day also added to ``failure_log``.
     """
@@ -260,7 +318,8 @@ def run_range(
         raise ValueError(f"{end} is in the future of the run at {run_ts}")
 
     def chosen(dataset: str, rows: DataFrame) -> DataFrame:
-        return _of_days(rows, *days_of(dataset, start, end, run_ts.date()))
+        first, last = days_of(dataset, start, end, run_ts.date())
+        return rows.where(F.col("GasDay").between(F.lit(first), F.lit(last)))
 
     run_days(spark, landing, pipes, tables, chosen, run_ts, parent, availability, target_day,
              keep_run_gold, failure_log)
@@ -279,14 +338,29 @@ def run_days(
     keep_run_gold: bool = False,
     failure_log: str | None = None,
 ) -> None:
-    """``run_range`` over the rows that ``chosen`` takes of a dataset's current postings."""
+    """Land what is new and build the slices of the gas days that ``chosen`` takes.
+
+    ``chosen`` is given a dataset and rows with a ``GasDay`` and returns those to run. Added to them
+    are the days that postings held which this run's have replaced: each slice is
+    built anew from all current postings, or emptied if none is left.
+    """
     run = run_name(run_ts, parent)
     of_parent = pipes.where(F.col("ParentPipe") == parent)
-    landed = land(spark, landing, tables, run)
-    meta_raw = landed.pop(fixed.META, None)
-    raw = {dataset: chosen(dataset, current_postings(rows)) for dataset, rows in landed.items()}
+    land(spark, landing, tables, run)
+    raw, days = {}, {}
+    for dataset in [d for d in landing if d != fixed.META]:
+        index = posting_days(spark, tables.postings, dataset)
+        if index.isEmpty():
+            continue
+        files = materialise(current_files(index), "current-postings")
+        taken = chosen(dataset, index).where("GasDay IS NOT NULL").select("GasDay")
+        days[dataset] = materialise(taken.unionByName(left_days(index, files, run)).distinct(), "days")
+        raw[dataset] = current_rows(spark, tables, dataset, days[dataset], run)
     if not raw:
         raise ValueError("nothing was posted")
+    meta_raw = None
+    if fixed.META in landing and not posting_days(spark, tables.postings, fixed.META).isEmpty():
+        meta_raw = current_rows(spark, tables, fixed.META)
 
     silver = {}
     for dataset, rows in raw.items():
@@ -302,7 +376,7 @@ def run_days(
         where = f"{tables.gold_runs}/run={run}"
         gold.distinct().write.mode("overwrite").parquet(where)
         gold = spark.read.schema(gold.schema).parquet(where)
-    merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(raw, parent))
+    merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(days, parent))
 
     write_run(run_rejects(raw, silver, of_parent, locations), tables.rejects, run)
     posted = write_audit(raw, silver, found, tables, run, meta_raw)
@@ -399,25 +473,15 @@ def rebuild_slices(
 ) -> None:
     """Build slices anew from all their current bronze rows and replace them.
 
-    ``touched`` holds the gas days per dataset. The span of the days is a plain
-    filter, which skips files by their statistics; the days themselves are a
-    semi join with a table written beforehand, which Spark knows to be small
-    and broadcasts, so the rows are not shuffled by day.
+    ``touched`` holds the gas days per dataset; see ``current_rows`` for what is read.
     """
     locations = current_locations(spark, tables)
-    silver, raw = {}, {}
+    silver, days = {}, {}
     for dataset, some_days in touched.items():
-        days = materialise(some_days.select("GasDay").distinct(), "days")
-        span = days.agg(F.min("GasDay").alias("first"), F.max("GasDay").alias("last")).first()
-        if span["first"] is None:
-            continue
-        rows = (
-            read_bronze(spark, tables.bronze, dataset)
-            .where(F.col("GasDay").between(F.lit(span["first"]), F.lit(span["last"])))
-            .join(days, "GasDay", "left_semi")
-        )
-        raw[dataset] = current_postings(rows, "run")
-        silver[dataset] = to_silver(raw[dataset].drop("run"), pipes, dataset)
+        distinct = materialise(some_days.select("GasDay").distinct(), "days")
+        if not distinct.isEmpty():
+            days[dataset] = distinct
+            silver[dataset] = to_silver(current_rows(spark, tables, dataset, distinct), pipes, dataset)
     if silver:
         gold = to_gold(silver, locations, run_ts, parent)
-        merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(raw, parent))
+        merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(days, parent))

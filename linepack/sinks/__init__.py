@@ -1,6 +1,6 @@
 """Sinks: bronze, silver, gold and versioned reference tables."""
 
-from .bronze import bronze_location, bronze_period, read_bronze, read_bronze_run, write_bronze
+from .bronze import bronze_location, bronze_period, read_bronze, read_bronze_run, read_bronze_runs, write_bronze
 from .gold import (
     cluster_months,
     gold_exists,
@@ -9,11 +9,22 @@ from .gold import (
     replace_slices,
     touched_slices,
 )
+from .ledger import (
+    any_entered,
+    current_files,
+    days_of_files,
+    enter_days,
+    enter_files,
+    left_days,
+    new_files,
+    posting_days,
+)
 from .silver import read_silver, write_silver
 from .versions import read_version, write_version
 
 __all__ = [
-    "bronze_location", "bronze_period", "cluster_months", "gold_exists", "merge_slices",
-    "read_bronze", "read_bronze_run", "read_gold", "read_silver", "read_version", "replace_slices", "touched_slices",
+    "any_entered", "bronze_location", "bronze_period", "cluster_months", "current_files", "days_of_files", "enter_days",
+    "enter_files", "gold_exists", "left_days", "merge_slices", "new_files", "posting_days", "read_bronze",
+    "read_bronze_run", "read_bronze_runs", "read_gold", "read_silver", "read_version", "replace_slices", "touched_slices",
     "write_bronze", "write_silver", "write_version",
 ]

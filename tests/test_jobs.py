@@ -363,3 +363,113 @@ def test_pipe_records_that_break_a_rule_are_listed(spark):
     assert [tuple(r) for r in sources.pipe_reference(rows).collect()] == [("Parent", "One", "001", "P1")]
     bad = {r.PipeName: r.Reason for r in sources.pipe_rejects(rows).collect()}
     assert bad == {"Far": "id is not three digits", "Short": "code length", "Who": "parent length"}
+
+
+def oa_post(folder, name, *lines):
+    (folder / f"{name}.csv").write_text("\n".join([",".join(OA_RAW), *lines]) + "\n")
+
+
+@pytest.mark.parametrize("how", ["batch", "stream"])
+def test_a_posting_that_moves_its_day_takes_the_old_day_with_it(spark, tmp_path, pipes, how):
+    tables, stream = plans.Tables(new_folder(spark, "tables")), new_folder(spark, "stream")
+    oa = tmp_path / "OA"
+    oa.mkdir()
+    minute = iter(range(60))
+
+    def run():
+        if how == "stream":
+            streaming.ingest(spark, {"OA": str(oa)}, pipes, tables, "Parent", stream, run_ts=RUN_TS)
+        else:
+            at = RUN_TS.replace(minute=next(minute))
+            plans.run_range(spark, {"OA": str(oa)}, pipes, tables, date(2026, 1, 1), date(2026, 1, 15), at, "Parent")
+
+    def gold():
+        return [(day, value) for day, _, _, value in content(spark, tables.gold)]
+
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0800", oa_line("01-05-2026", "7", "100"))
+    run()
+    assert gold() == [(5, 100.0)]
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0900", oa_line("01-06-2026", "7", "100"))
+    run()
+    assert gold() == [(6, 100.0)]
+    # Another unit touches the old day: the figure that was replaced does not come back.
+    oa_post(oa, "P1_OA_20260105_LATE_2026-01-05_0930", oa_line("01-05-2026", "8", "5"))
+    run()
+    assert gold() == [(5, 5.0), (6, 100.0)]
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_1000", oa_line("01-05-2026", "7", "1"), oa_line("01-07-2026", "7", "2"))
+    run()
+    assert gold() == [(5, 1.0), (5, 5.0), (7, 2.0)]
+    # An older download that lands late changes nothing.
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0700", oa_line("01-09-2026", "7", "9"))
+    run()
+    assert gold() == [(5, 1.0), (5, 5.0), (7, 2.0)]
+
+
+def test_a_run_of_one_day_empties_the_day_a_posting_has_left(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    oa = tmp_path / "OA"
+    oa.mkdir()
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0800", oa_line("01-05-2026", "7", "100"))
+    plans.run_day(spark, {"OA": str(oa)}, pipes, tables, date(2026, 1, 5), RUN_TS, "Parent")
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0900", oa_line("01-06-2026", "7", "100"))
+    plans.run_day(spark, {"OA": str(oa)}, pipes, tables, date(2026, 1, 6), RUN_TS.replace(hour=7), "Parent")
+    assert [c[0] for c in content(spark, tables.gold)] == [6]
+
+
+def test_files_are_landed_once(spark, tmp_path, pipes):
+    tables = plans.Tables(new_folder(spark, "tables"))
+    oa = tmp_path / "OA"
+    oa.mkdir()
+
+    def run(day, hour):
+        plans.run_day(spark, {"OA": str(oa)}, pipes, tables, date(2026, 1, day), RUN_TS.replace(hour=hour), "Parent")
+
+    def landed():
+        rows = sinks.read_bronze(spark, tables.bronze, "OA").groupBy("run").count().collect()
+        return {r.run[8:10]: r["count"] for r in rows}
+
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0800", oa_line("01-05-2026", "7", "1"))
+    run(5, 1)
+    run(5, 2)
+    assert landed() == {"01": 1}
+    (oa / "P1_OA_20260106_INTRDY_2026-01-06_0800.csv").write_text("")
+    oa_post(oa, "P1_OA_20260107_INTRDY_2026-01-07_0800", oa_line("01-07-2026", "7", "2"), oa_line("nope", "7", "2"))
+    run(7, 3)
+    assert landed() == {"01": 1, "03": 2}
+    assert content(spark, tables.gold) == [(5, "OA", "0010000007", 1.0), (7, "OA", "0010000007", 2.0)]
+    # Rows without a day are listed by the run that landed them, not by every later one.
+    run(5, 4)
+    listed = spark.read.parquet(tables.rejects).groupBy("run").count().collect()
+    assert [(str(r.run)[8:10], r["count"]) for r in listed] == [("03", 1)]
+    # The same name written again is a new file.
+    oa_post(oa, "P1_OA_20260105_INTRDY_2026-01-05_0800", oa_line("01-05-2026", "7", "33"))
+    run(5, 5)
+    assert landed() == {"01": 1, "03": 2, "05": 1}
+    assert content(spark, tables.gold)[0] == (5, "OA", "0010000007", 33.0)
+
+
+ODD_NAMES = ["P1_OA_{0,1}_20260105_x", "P1_OA_0_20260105_x", "P1_OA_[1]_20260105_x", "P1 _OA_a b_20260105_x",
+             "P1_OA_100%_20260105_x", "P1_OA_%41_20260105_x", "P1_OA_+_20260105_x", "P1_OA_*?_20260105_x", "P1_OA_é_20260105_x"]
+
+
+@pytest.mark.parametrize("how", ["batch", "stream"])
+def test_names_are_taken_literally(spark, tmp_path, pipes, how):
+    tables, stream = plans.Tables(new_folder(spark, "tables")), new_folder(spark, "stream")
+    oa = tmp_path / "OA"
+    oa.mkdir()
+    want = []
+
+    def run(hour):
+        if how == "stream":
+            streaming.ingest(spark, {"OA": str(oa)}, pipes, tables, "Parent", stream, run_ts=RUN_TS, files_per_batch=4)
+        else:
+            plans.run_day(spark, {"OA": str(oa)}, pipes, tables, date(2026, 1, 5), RUN_TS.replace(hour=hour), "Parent")
+
+    for half, names in enumerate((ODD_NAMES[:2], ODD_NAMES[2:])):
+        for name in names:
+            want.append((f"001{len(want):07d}", float(len(want))))
+            oa_post(oa, name, oa_line("01-05-2026", str(len(want) - 1), str(len(want) - 1)))
+        run(half + 1)
+        assert sorted((loc, value) for _, _, loc, value in content(spark, tables.gold)) == want
+    stored = {r.PostingFile for r in sinks.read_bronze(spark, tables.bronze, "OA").select("PostingFile").collect()}
+    assert stored == {f"{name}.csv" for name in ODD_NAMES}
