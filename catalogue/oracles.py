@@ -278,6 +278,17 @@ oa_twice AS (
 )
 
 
+_MOVED = _with(
+    _BASE, """
+oa_moved AS (
+  SELECT * REPLACE (CASE WHEN PipeCode <> 'ZZ' AND CAST(TSP AS INT) % 2 = 0 AND TRY_STRPTIME(Eff_Gas_Day, '%m-%d-%Y') IS NOT NULL
+                         THEN strftime(TRY_STRPTIME(Eff_Gas_Day, '%m-%d-%Y') + INTERVAL 1 DAY, '%m-%d-%Y')
+                         ELSE Eff_Gas_Day END AS Eff_Gas_Day) FROM oa_raw
+)""", _silver("oa_moved"), _gold(),
+    select=f"SELECT DISTINCT {_STAMPED} FROM oa_gold",
+)
+
+
 ORACLES: dict[str, str] = {
     "point_keys": _with(_BASE, select=r"""
         SELECT PipeCode, regexp_replace(Loc, '^\s+|\s+$', '', 'g') AS Loc, k AS LocID, GFPipeID || k AS GFLocID,
@@ -496,6 +507,7 @@ ORACLES: dict[str, str] = {
         WHERE (Dataset <> 'NN' AND GasDay IN (DATE '1998-03-14', DATE '1998-03-15'))
            OR (Dataset = 'NN' AND GasDay = DATE '1998-03-11')""") + ")",
     "repost": _REPOST,
+    "repost_moved": _MOVED,
     "stream_repost": _REPOST,
     "replay_failed": _run("WHERE GasDay IN (DATE '1995-01-01', DATE '1999-01-01') AND Dataset <> 'NN'"),
     "run_range": _run(""),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -475,6 +475,18 @@ def repost(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.read_gold(spark, tables.gold)
 
 
+def repost_moved(spark: SparkSession, sf: str) -> DataFrame:
+    """Some pipes post all their rows again a day later, between two runs: the days they have left lose them."""
+    pipes, tables = _installation(spark, sf)
+    path = new_folder(spark, "landing")
+    for rows, time, at in (
+        (t.oa_raw(spark, sf), "0800", t.RUN_TS - timedelta(hours=1)), (t.moved(t.oa_raw(spark, sf)), "0900", t.RUN_TS),
+    ):
+        t.write_oa_postings(rows, path, time)
+        plans.run_range(spark, {fixed.OA: path}, pipes, tables, date(1990, 1, 1), date(2010, 1, 1), at, "Network")
+    return sinks.read_gold(spark, tables.gold)
+
+
 def stream_repost(spark: SparkSession, sf: str) -> DataFrame:
     """The same as files land: the first postings, then the second ones."""
     pipes, tables = _installation(spark, sf)
@@ -527,6 +539,6 @@ QUERIES: dict[str, Query] = {
         audit_raw_counts, audit_raw_files, audit_silver_counts, audit_new_locations,
         audit_dataset_detail, audit_run_summary, audit_failures, pipe_changes,
         missing_downloads, failed_worklist, run_range, run_day, stream_ingest,
-        merge_slices, run_daily, repost, stream_repost, replay_failed, reports,
+        merge_slices, run_daily, repost, repost_moved, stream_repost, replay_failed, reports,
     ]
 }

@@ -266,6 +266,12 @@ def reposted(oa: DataFrame) -> DataFrame:
     return oa.where("PipeCode <> 'ZZ' AND CAST(TSP AS int) % 2 = 0").withColumn("IT", F.lit("X"))
 
 
+def moved(oa: DataFrame) -> DataFrame:
+    """What the pipes of even nations post a second time, every readable gas day one day later."""
+    later = F.date_format(F.date_add(F.try_to_date("Eff_Gas_Day", "MM-dd-yyyy"), 1), "MM-dd-yyyy")
+    return oa.where("PipeCode <> 'ZZ' AND CAST(TSP AS int) % 2 = 0").withColumn("Eff_Gas_Day", F.coalesce(later, "Eff_Gas_Day"))
+
+
 def write_oa_postings(rows: DataFrame, path: str, time: str = "0800") -> None:
     """OA files by pipe and four years; later files have other columns in another order."""
     rows = (
