@@ -133,6 +133,116 @@ def test_quality_of_awkward_rows(spark):
     assert cotraining.quality_scores(edges.nothing(spark), labels.limit(0)).count() == 0
 
 
+def plain_newton(x, y, row_weight, w):
+    """One damped Newton step of ridge logistic regression, row by row."""
+    d = x.shape[1]
+    slope, curve, rows = np.zeros(d), np.zeros((d, d)), 0.0
+    for row, label, weight in zip(x, y, row_weight, strict=True):
+        p = 1 / (1 + np.exp(-np.clip(row @ w, -30, 30)))
+        slope += weight * (p - label) * row
+        curve += weight * p * (1 - p) * np.outer(row, row)
+        rows += weight
+    ridge = np.array([1e-6 * rows] + [0.01 * rows] * (d - 1))
+    move = np.linalg.solve(curve + np.diag(ridge + 1e-9), slope + ridge * w)
+    farthest = np.abs(move).max()
+    return w - move * min(1, 3 / max(farthest, 3)), farthest
+
+
+def plain_fit(x, y):
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        w, far = plain_newton(x, y, np.ones(len(y)), w)
+        if far < 1e-6:
+            break
+    return w
+
+
+def plain_scores(docs, labels):
+    """Co-training of whole matrices in one place: (doc_id, score) of every document."""
+    docs = sorted(docs, key=lambda r: r.doc_id)
+    raw = [np.array([content_features(r.text or "") for r in docs], np.float32).astype(float),
+           np.array([metadata_features(r.lang, r.source, r.n_chars) for r in docs], np.float32).astype(float)]
+    own = np.array([r.doc_id in labels for r in docs])
+    y = np.array([float(labels.get(r.doc_id, 0)) for r in docs])
+    held = np.zeros(len(docs), bool)
+    held[np.flatnonzero(own)[::5]] = True
+    if len(set(y[held])) < 2 or len(set(y[own & ~held])) < 2:
+        held[:] = False
+    fitted = own & ~held
+    judge = held if held.any() else fitted
+
+    def design(x, rows):
+        middle, scale = x[rows].mean(axis=0), x[rows].std(axis=0)
+        scale[scale < 1e-9] = 1
+        return np.column_stack([np.ones(len(x)), (x - middle) / scale])
+
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-np.clip(v, -30, 30)))
+
+    z = [design(x, fitted) for x in raw]
+    w = [plain_fit(v[fitted], y[fitted]) for v in z]
+    for _ in range(5):
+        sure = [sigmoid(z[k] @ w[k]) for k in (0, 1)]
+        for _ in range(2):
+            after = []
+            for k in (0, 1):
+                p = sure[1 - k]
+                weight, target = fitted.astype(float), y.copy()
+                for c, rows in ((0.0, ~own & (1 - p >= 0.98)), (1.0, ~own & (p >= 0.98))):
+                    if rows.any():
+                        weight[rows] = min(1, (y[fitted] == c).sum() / rows.sum())
+                        target[rows] = c
+                used = weight > 0
+                after.append(plain_newton(z[k][used], target[used], weight[used], w[k])[0])
+            w = after
+    logits = []
+    for k in (0, 1):
+        one = design(np.clip(z[k] @ w[k], -30, 30)[:, None], judge)
+        logits.append(np.clip(one @ plain_fit(one[judge], y[judge]), -30, 30))
+    both = design(np.column_stack(logits), judge)
+    return dict(zip([r.doc_id for r in docs], sigmoid(both @ plain_fit(both[judge], y[judge])), strict=True))
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])  # held-out rows of one class, and of both
+def test_scores_against_plain_numpy(spark, sf):
+    """Fitted over many tasks, against one place that holds every row."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    votes = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality is not None:
+            votes.setdefault(r.doc_id, []).append(r.quality)
+    rows = docs.collect()
+    present = {r.doc_id for r in rows}
+    wanted = plain_scores(rows, {d: int(np.mean(v) >= 0.5) for d, v in votes.items() if d in present})
+    got = {r.doc_id: r.score for r in cotraining.quality_scores(docs.repartition(7), labels).collect()}
+    assert got.keys() == wanted.keys()
+    assert max(abs(got[d] - wanted[d]) for d in got) < 1e-6
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    """The sums over a table are those over its rows, however many tasks it has."""
+    views = cotraining.view_table(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rows = views.toArrow().combine_chunks().to_batches()[0]
+    content, metadata = cotraining._matrices(rows)
+    y = (np.arange(len(content)) % 2).astype(float)
+    models = (cotraining.Logistic().fit(content, content[:, 0] > np.median(content[:, 0])), cotraining.Logistic().fit(metadata, y))
+    whole = cotraining._taught(content, metadata, models, models)
+    assert cotraining._unpacked(whole, models)[1][0][0] + cotraining._unpacked(whole, models)[1][1][0] > 0
+    for parts in (1, 5, 90):
+        np.testing.assert_allclose(cotraining._taught_by(views.repartition(parts), models, models), whole, rtol=1e-6, atol=1e-6)
+
+
+def test_labels_without_document_do_not_use_up_the_sample(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    views = cotraining.view_table(docs)
+    strange = spark.range(10**9, 10**9 + 5000).selectExpr("id AS doc_id", "1 AS quality")
+    alone = cotraining.fit(views, labels, 150)
+    among = cotraining.fit(views, labels.unionByName(strange.selectExpr("doc_id", "CAST(quality AS INT) AS quality")), 150)
+    assert alone.content is not None and np.array_equal(alone.content.weights, among.content.weights)
+
+
 def test_pipeline_stage_by_stage(spark):
     """Each stage against what its operator's own tests establish, on its predecessor's rows."""
     from test_dedup_operators import normal, plain_fingerprint, reach
