@@ -7,6 +7,7 @@ from .audit import (
     file_counts,
     missing_downloads,
     new_location_counts,
+    offered_units,
     pipe_changes,
     raw_counts,
     reports,
@@ -51,7 +52,7 @@ __all__ = [
     "dataset_detail", "drop_all_null", "existing_numbers", "expand_days", "failures",
     "file_counts", "gold_nn", "gold_oa", "gold_sg", "historic_range", "keyed",
     "merge_gold", "meta_changes", "meta_enrichment", "missing_downloads",
-    "new_location_counts", "new_point_locations", "new_segment_locations",
+    "new_location_counts", "new_point_locations", "new_segment_locations", "offered_units",
     "pipe_changes", "pipes_of", "point_rejects", "point_silver", "raw_counts",
     "rejected", "run_summary", "running_number", "segment_rejects", "segment_silver",
     "select_present", "sg_directions", "silver_counts", "silver_rejects",

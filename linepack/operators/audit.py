@@ -121,18 +121,22 @@ def pipe_changes(live: DataFrame, configured: DataFrame) -> DataFrame:
     )
 
 
-def missing_downloads(availability: DataFrame, delivered: DataFrame) -> DataFrame:
-    """Datasets a pipe offers that no posting was delivered for."""
+def offered_units(availability: DataFrame) -> DataFrame:
+    """One row per pipe and dataset that the pipe offers."""
     flags = {fixed.OA: "has_OA", fixed.SG: "has_SG", fixed.NN: "has_NN", fixed.META: "has_MetaData"}
     offered = F.array(*[
         F.when(F.col(flag), F.lit(dataset)) for dataset, flag in flags.items()
     ])
-    expected = availability.select(
+    return availability.select(
         F.col("pipe.code").alias("pipe_code"),
         F.explode(F.array_compact(offered)).alias("dataset_type"),
     )
+
+
+def missing_downloads(availability: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Datasets a pipe offers that no posting was delivered for."""
     units = delivered.select("pipe_code", "dataset_type").distinct()
-    return expected.join(units, ["pipe_code", "dataset_type"], "left_anti")
+    return offered_units(availability).join(units, ["pipe_code", "dataset_type"], "left_anti")
 
 
 class Reports(NamedTuple):
