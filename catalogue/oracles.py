@@ -388,6 +388,18 @@ ORACLES: dict[str, str] = {
     "gold_merge": _with(_BASE, _silver(), _gold(), select=f"""
         SELECT DISTINCT {_STAMPED} FROM (SELECT * FROM oa_gold UNION ALL SELECT * FROM nn_gold
                                          UNION ALL SELECT * FROM sg_gold)"""),
+    # The test cycles are Timely and Evening, so the later one is the smaller text.
+    "latest_cycle": _with(_BASE, _silver(), """
+oa_last AS (
+  SELECT * FROM oa_silver QUALIFY Cycle_Desc = min(Cycle_Desc) OVER (
+    PARTITION BY GFLocID, CAST(TRY_STRPTIME(Eff_Gas_Day, '%m-%d-%Y') AS DATE), IT,
+      CASE trim(Flow_Ind_Desc) WHEN 'Delivery' THEN 'D' WHEN 'Receipt' THEN 'R'
+           WHEN 'Storage Injection' THEN 'D' WHEN 'Storage Withdrawal' THEN 'R' ELSE 'Z' END)
+),
+sg_last AS (
+  SELECT * FROM sg_silver QUALIFY CycleDesc = min(CycleDesc) OVER (PARTITION BY GFPipeID, "Station Name", EffGasDate)
+)""", _gold().replace("oa_silver", "oa_last").replace("sg_silver", "sg_last"),
+        select="SELECT * FROM oa_gold UNION ALL SELECT * FROM sg_gold"),
     "rejects": _with(_BASE, _silver(), select="""
         SELECT 'OA' AS Dataset, PipeCode AS Pipe, Loc AS Location, 'unknown pipe' AS Reason, true AS Dropped
           FROM oa_raw WHERE PipeCode = 'ZZ'
@@ -491,6 +503,15 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'P' || n_nationkey, 'NN' FROM nation WHERE n_nationkey % 3 = 0
           UNION ALL SELECT 'P' || n_nationkey, 'META' FROM nation WHERE n_nationkey % 5 = 0)
         EXCEPT SELECT PipeCode, Dataset FROM posted"""),
+    "late_deliveries": _with(_RESULTS, select="""
+        , units AS (
+          SELECT pipe_code, dataset_type, CAST(date AS DATE) AS gas_day,
+                 CAST(CAST(date AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR AS deadline,
+                 min(date_trunc('millisecond', date)) FILTER (WHERE success) AS came
+          FROM results GROUP BY 1, 2, 3, 4)
+        SELECT pipe_code, dataset_type, gas_day, 'late' AS state, deadline AS at FROM units
+        WHERE came IS NULL OR came > deadline
+        UNION ALL SELECT pipe_code, dataset_type, gas_day, 'came', came FROM units WHERE came > deadline"""),
     "failed_worklist": _with(_RESULTS, select="""
         SELECT DISTINCT pipe_code AS pipecode,
                unnest(CASE WHEN duration_s > 100 THEN ['OA', 'SG', 'NN'] ELSE ['SG'] END) AS type,

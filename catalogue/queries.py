@@ -205,6 +205,13 @@ def gold_merge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def latest_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of points and segments, each figure of its latest cycle only."""
+    points = O.latest_cycle(oa_silver(spark, sf), fixed.OA)
+    segments = O.latest_cycle(sg_silver(spark, sf), fixed.SG)
+    return O.gold_oa(points).unionByName(O.gold_sg(segments, t.locations(spark, sf)))
+
+
 def rejects(spark: SparkSession, sf: str) -> DataFrame:
     oa, nn, sg, pipes = t.oa_raw(spark, sf), t.nn_raw(spark, sf), t.sg_raw(spark, sf), t.pipes(spark, sf)
     return O.conform(O.all_rejects(
@@ -400,6 +407,23 @@ def missing_downloads(spark: SparkSession, sf: str) -> DataFrame:
     return O.missing_downloads(t.availability(spark, sf), delivered)
 
 
+def late_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Every attempt announces its unit for noon, a success delivers it: told in the middle and at the end of the month."""
+    expected, landed = new_folder(spark, "expected"), new_folder(spark, "landed")
+    events, checkpoint = new_folder(spark, "events"), new_folder(spark, "watch")
+    attempts = t.results(spark, sf).withColumn("gas_day", F.to_date("date"))
+    noon = F.col("gas_day").cast("timestamp") + F.expr("INTERVAL 12 HOURS")
+    unit = ["pipe_code", "dataset_type", "gas_day"]
+    streaming.expect(attempts.select(*unit).distinct().withColumn("deadline", noon), expected, "run1")
+    came = attempts.where("success").select(*unit, F.col("date").cast("timestamp").alias("at"))
+    first = F.col("at") < F.lit(t.MID_MONTH)
+    for part, now in ((came.where(first), t.MID_MONTH), (came.where(~first), t.END_MONTH)):
+        part.write.mode("append").parquet(landed)
+        delivered = spark.readStream.schema(came.schema).parquet(landed)
+        streaming.watch_deliveries(spark, expected, delivered, events, checkpoint, now)
+    return spark.read.parquet(events).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
 def failed_worklist(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "failures")
     failed = t.results(spark, sf).where("NOT success").selectExpr(
@@ -534,11 +558,11 @@ QUERIES: dict[str, Query] = {
         day_calendar, validate_pipes, validate_results, udf_batch, pipe_reference, parent_pipes,
         loc_reference, read_points, read_segments, oa_silver, nn_silver, sg_silver,
         drop_all_null, conform_fact, sg_directions, oa_gold, nn_gold, sg_gold, gold_merge,
-        rejects, meta_enrichment, meta_changes, new_point_locations, new_segment_locations,
+        latest_cycle, rejects, meta_enrichment, meta_changes, new_point_locations, new_segment_locations,
         upsert_locations, replace_slices, cluster_months, silver_roundtrip, bronze_layout,
         audit_raw_counts, audit_raw_files, audit_silver_counts, audit_new_locations,
         audit_dataset_detail, audit_run_summary, audit_failures, pipe_changes,
-        missing_downloads, failed_worklist, run_range, run_day, stream_ingest,
+        missing_downloads, late_deliveries, failed_worklist, run_range, run_day, stream_ingest,
         merge_slices, run_daily, repost, repost_moved, stream_repost, replay_failed, reports,
     ]
 }

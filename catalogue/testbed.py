@@ -12,6 +12,8 @@ from linepack.functions import pipe_label
 RUN_TS = datetime(2026, 1, 15, 6, 30)
 RUN_DAY = date(2026, 1, 15)
 DAILY_TS = datetime(1998, 3, 15, 6, 30)
+MID_MONTH = datetime(2024, 1, 16, 3)
+END_MONTH = datetime(2024, 2, 1)
 PARENT = "AFRICA"
 
 

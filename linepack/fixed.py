@@ -38,6 +38,9 @@ NN_FLOW = {
     "Storage Withdrawal": "R",
 }
 
+# Cycles of a gas day, earliest first; short forms write ID for Intraday ---
+CYCLES = ["Timely", "Evening", "Intraday 1", "Intraday 2", "Intraday 3", "Final"]
+
 # Texts that mean "no value" in posted text columns ------------
 NULL_MARKS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

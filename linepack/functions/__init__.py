@@ -1,6 +1,6 @@
 """Column functions: one rule each, all native expressions except ``batch``."""
 
-from .codes import mapped, nn_flow, oa_flow, sg_direction, sg_flow
+from .codes import cycle_rank, mapped, nn_flow, oa_flow, sg_direction, sg_flow
 from .keys import gf_loc_id, gf_number, loc_id, pipe_id, pipe_of_gf_loc_id, signed
 from .lift import batch
 from .text import (
@@ -30,7 +30,7 @@ from .values import (
 )
 
 __all__ = [
-    "batch", "date_of_posting", "day_text", "file_safe", "gas_month", "gf_loc_id",
+    "batch", "cycle_rank", "date_of_posting", "day_text", "file_safe", "gas_month", "gf_loc_id",
     "gf_number", "last_part", "loc_id", "mapped", "nn_day", "nn_flow", "nn_posting_day",
     "null_or_empty", "number", "oa_day", "oa_flow", "pipe_id", "pipe_label",
     "pipe_of_gf_loc_id", "pipe_of_posting", "post_time_of_posting", "posting_name", "quantity", "read_path", "seconds_between",

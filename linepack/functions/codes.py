@@ -21,6 +21,17 @@ def oa_flow(text: Column) -> Column:
     return mapped(strip(text), fixed.OA_FLOW, fixed.OA_FLOW_DEFAULT)
 
 
+def _plain_cycle(name: Column) -> Column:
+    """Letters and digits of a cycle's name in lower case, its short form."""
+    return F.replace(F.regexp_replace(F.lower(name), "[^a-z0-9]", ""), F.lit("intraday"), F.lit("id"))
+
+
+def cycle_rank(name: Column) -> Column:
+    """Place of a cycle in its gas day from 1; 0 for null and for names that are not known."""
+    order = F.array(*[_plain_cycle(F.lit(cycle)) for cycle in fixed.CYCLES])
+    return F.coalesce(F.array_position(order, _plain_cycle(name)), F.lit(0))
+
+
 def nn_flow(text: Column) -> Column:
     """Only B is translated; every other value is kept as posted."""
     code = strip(text)

@@ -16,6 +16,7 @@ from .audit import (
 )
 from .calendar import daily_range, expand_days, historic_range
 from .current import current_postings, newest_postings, of_files
+from .cycles import cycle_counts, latest_cycle
 from .gold import gold_nn, gold_oa, gold_sg, merge_gold, sg_directions, with_gas_day
 from .locations import (
     existing_numbers,
@@ -46,6 +47,7 @@ from .silver import pipes_of, point_silver, segment_silver
 from .validate import rejected, valid, validate_pipes, validate_results
 
 __all__ = [
+    "cycle_counts", "latest_cycle",
     "current_postings", "newest_postings", "of_files",
     "Reports", "reports",
     "all_rejects", "all_text", "alphanumeric_names", "conform", "daily_range",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..operators import (
     conform,
+    cycle_counts,
     daily_range,
     dataset_detail,
     file_counts,
@@ -26,6 +27,7 @@ from ..operators import (
     gold_sg,
     historic_range,
     keyed,
+    latest_cycle,
     meta_enrichment,
     missing_downloads,
     new_location_counts,
@@ -44,6 +46,7 @@ from ..operators import (
     upsert_by_key,
 )
 from ..functions import gas_month
+from ..operators.cycles import CYCLE_COLUMN
 from ..operators.silver import LOCATION_COLUMN
 from ..schemas import REJECTS, STORED_LOCATIONS
 from ..shared import materialise
@@ -77,9 +80,14 @@ from ..sources import (
 
 @dataclass(frozen=True)
 class Tables:
-    """Where the tables of one installation are, below one root folder."""
+    """Where the tables of one installation are, below one root folder, and what its gold holds.
+
+    With ``latest_cycle`` gold has only the latest cycle that each figure was posted for, in
+    every run, replay and stream of the installation; without, all cycles.
+    """
 
     root: str
+    latest_cycle: bool = False
 
     @property
     def bronze(self) -> str:
@@ -202,9 +210,11 @@ def to_silver(raw: DataFrame, pipes: DataFrame, dataset: str) -> DataFrame:
 
 
 def to_gold(
-    silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime, parent: str
+    silver: dict[str, DataFrame], locations: DataFrame, run_ts: datetime, parent: str, latest: bool = False
 ) -> DataFrame:
-    """Stamped facts of all datasets; ``merge_slices`` makes them distinct while it writes."""
+    """Stamped facts of all datasets, or of their latest cycles; ``merge_slices`` makes them distinct while it writes."""
+    if latest:
+        silver = {dataset: latest_cycle(rows, dataset) for dataset, rows in silver.items()}
     facts = []
     if fixed.OA in silver:
         facts.append(gold_oa(silver[fixed.OA]))
@@ -371,7 +381,7 @@ def run_days(
     found = discover_locations(silver, meta, of_parent, tables, parent, run_ts)
     locations = current_locations(spark, tables)
 
-    gold = to_gold(silver, locations, run_ts, parent)
+    gold = to_gold(silver, locations, run_ts, parent, tables.latest_cycle)
     if keep_run_gold:
         where = f"{tables.gold_runs}/run={run}"
         gold.distinct().write.mode("overwrite").parquet(where)
@@ -416,6 +426,9 @@ def write_audit(
     ])
     detail = dataset_detail(posted, written, new_location_counts(found))
     write_run(detail, f"{tables.audit}/dataset_detail", run)
+    cycles = [cycle_counts(rows, dataset) for dataset, rows in silver.items() if dataset in CYCLE_COLUMN]
+    if tables.latest_cycle and cycles:
+        write_run(union_by_name(*cycles), f"{tables.audit}/cycles", run)
     return posted
 
 
@@ -483,5 +496,5 @@ def rebuild_slices(
             days[dataset] = distinct
             silver[dataset] = to_silver(current_rows(spark, tables, dataset, distinct), pipes, dataset)
     if silver:
-        gold = to_gold(silver, locations, run_ts, parent)
+        gold = to_gold(silver, locations, run_ts, parent, tables.latest_cycle)
         merge_slices(gold, tables.gold, GOLD_EXTRA, posted=posted_slices(days, parent))

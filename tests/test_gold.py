@@ -6,6 +6,7 @@ import random
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from linepack import fixed
 from linepack import operators as O
@@ -185,3 +186,28 @@ def test_directions_against_brute_force(spark):
     got = O.sg_directions(sg(spark, *rows)).select("`Station Name`", "OpCap", "Nom", "FlowInd").collect()
     assert sorted((tuple(r) for r in got), key=str) == want
     assert all((r.OpCap or 0) >= 0 and r.Nom >= 0 for r in got)
+
+
+def test_latest_cycle_of_each_figure(spark):
+    def oa(cycle, cap, **changes):
+        return _oa(spark, Cycle_Desc=cycle, Operating_Capacity=cap, **changes)
+
+    rows = spark.createDataFrame([
+        oa("Timely", "1"), oa("ID 2", "2"), oa("Intraday 1", "3"), oa("INTRADAY-2", "4"), oa(None, "5"), oa("odd", "6"),
+        oa("Timely", "7", Loc_Name="Elsewhere", GFLocID="0010000009"), oa("Evening", "8", Eff_Gas_Day="1-5-2026"),
+        oa("Evening", "9", Flow_Ind_Desc="Delivery"), oa(None, "10", Eff_Gas_Day=None), oa("odd", "11", Eff_Gas_Day="soon"),
+        oa("Timely", "12", IT="I"),
+    ], OA_SILVER)
+    kept = O.latest_cycle(rows, "OA")
+    assert sorted(int(r.Operating_Capacity) for r in kept.collect()) == [2, 4, 7, 9, 10, 11, 12]
+    assert kept.schema == rows.schema
+    assert O.latest_cycle(rows.limit(0), "OA").count() == 0
+    counted = {r.cycle: (r.silver_records, r.known) for r in O.cycle_counts(rows, "OA").collect()}
+    assert counted["Timely"] == (3, True) and counted["odd"] == (2, False) and counted[None] == (2, False)
+    sg = spark.createDataFrame(
+        [("A", 1.0, "Timely"), ("A", 2.0, "Final"), ("A", 3.0, "Final"), (None, 4.0, "Timely"), (None, 5.0, "Evening")],
+        "`Station Name` string, Cap double, CycleDesc string",
+    ).withColumns({"GFPipeID": F.lit("001"), "EffGasDate": F.lit(date(2026, 1, 5))})
+    assert sorted(r.Cap for r in O.latest_cycle(sg, "SG").collect()) == [2.0, 3.0, 5.0]
+    nn = spark.range(3)
+    assert O.latest_cycle(nn, "NN") is nn

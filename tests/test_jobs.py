@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linepack import plans, sinks, sources, streaming
 from linepack.fixed import META_RAW, OA_RAW
 from linepack.operators import conform
+from linepack.plans.jobs import run_name
 from linepack.schemas import FACT, STORED_LOCATIONS, texts
 from linepack.shared import new_folder, shared_folder
 
@@ -473,3 +474,31 @@ def test_names_are_taken_literally(spark, tmp_path, pipes, how):
         assert sorted((loc, value) for _, _, loc, value in content(spark, tables.gold)) == want
     stored = {r.PostingFile for r in sinks.read_bronze(spark, tables.bronze, "OA").select("PostingFile").collect()}
     assert stored == {f"{name}.csv" for name in ODD_NAMES}
+
+
+def test_gold_of_the_latest_cycle_in_runs_and_stream(spark, tmp_path, pipes):
+    folder = tmp_path / "OA"
+    folder.mkdir()
+    head = ",".join(OA_RAW)
+
+    def post(cycle, *lines):
+        (folder / f"P1_OA_20260105_{cycle}.csv").write_text("\n".join([head, *lines]) + "\n")
+
+    def capacities(tables):
+        return sorted((r.GFLocID, r.OperatingCapacity) for r in sinks.read_gold(spark, tables.gold).collect())
+
+    tables = plans.Tables(new_folder(spark, "tables"), latest_cycle=True)
+    streamed, stream = plans.Tables(new_folder(spark, "tables"), latest_cycle=True), new_folder(spark, "stream")
+    day, landing = date(2026, 1, 5), {"OA": str(folder)}
+    post("TIMELY", oa_line("01-05-2026", "7", "10"), oa_line("01-05-2026", "8", "20"))
+    plans.run_day(spark, landing, pipes, tables, day, RUN_TS, "Parent")
+    streaming.ingest(spark, landing, pipes, streamed, "Parent", stream, run_ts=RUN_TS)
+    for each in (tables, streamed):
+        assert capacities(each) == [("0010000007", 10.0), ("0010000008", 20.0)]
+    post("INTRDY", oa_line("01-05-2026", "7", "12", "Intraday 1"), oa_line("01-05-2026", "7", "11", "Evening"))
+    plans.run_day(spark, landing, pipes, tables, day, RUN_TS + timedelta(hours=1), "Parent")
+    streaming.ingest(spark, landing, pipes, streamed, "Parent", stream, run_ts=RUN_TS)
+    for each in (tables, streamed):
+        assert capacities(each) == [("0010000007", 12.0), ("0010000008", 20.0)]
+    counted = spark.read.parquet(f"{tables.audit}/cycles").where(F.col("run") == run_name(RUN_TS + timedelta(hours=1), "Parent")).collect()
+    assert {r.cycle: r.silver_records for r in counted} == {"Timely": 2, "Evening": 1, "Intraday 1": 1}
