@@ -28,6 +28,7 @@ _POSTED = "PostingFile string, GasDay date, Dataset string, run string"
 _OUTPUT = "pipe_code string, dataset_type string, gas_day date, state string, at_ms long"
 _DAY_MS = 86_400_000
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # What has been told about a unit.
@@ -142,6 +143,7 @@ def watch_deliveries(
     checkpoint: str,
     now: datetime,
     keep_days: int = 60,
+    state_partitions: int = 4,
 ) -> None:
     """Take in what was announced and delivered since the last call, and tell what is late at ``now``.
 
@@ -153,6 +155,9 @@ def watch_deliveries(
     seen, it is not dropped as late. Each call enters its own time with the announcements, so that
     deadlines pass also when nothing comes; a call whose clock is behind counts at the time of
     the call before. Deadlines within the last second are told by the next call.
+
+    State has a row per unit of the last ``keep_days``, few beside the rows of the postings;
+    ``state_partitions`` says how many tasks share it and stays as the first call set it.
     """
     now = max(now, _last_clock(spark, expected) or now)
     clock = spark.createDataFrame([(None, None, None, None, now)], EXPECTED)
@@ -174,9 +179,12 @@ def watch_deliveries(
         .transformWithState(Punctuality(keep_days), _OUTPUT, "Append", "EventTime")
         .select(*UNIT, "state", F.timestamp_millis("at_ms").alias("at"))
     )
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)  # the store that timers need; a query keeps the one it started with
+    # A query keeps the settings it started with: the store that timers need, and its partitions.
+    settings = {_PROVIDER: _ROCKSDB, _PARTITIONS: str(state_partitions)}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         query = (
             told.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", checkpoint)
@@ -185,7 +193,8 @@ def watch_deliveries(
             .start(events)
         )
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     query.awaitTermination()
 
 
