@@ -93,3 +93,18 @@ def test_profiling_hashes_and_never_sorts_lines(spark, tmp_path):
     (tmp_path / "P1_OA_1.csv").write_text("Loc\n1\n")
     text = plan(sources.profile(spark, str(tmp_path)), "simple")
     assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
+
+
+def test_a_record_is_split_once_and_each_field_is_looked_at_once(spark, tmp_path):
+    from linepack import sources
+
+    (tmp_path / "P1_OA_20250101_INTRDY_x.csv").write_text("Loc,A,B\n1,NA,2\n2,3,4,5\n3,,n/a,NA\n")
+    rows = sources.read_points(spark, str(tmp_path))
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_csv(") == 1
+    assert text.count("UrlCodec") == 0  # names are decoded in the row of a file
+    found = {r.Loc: (r.A, r.B, r.TooWide, r.PipeCode, r.PostingFile) for r in rows.collect()}
+    name = "P1_OA_20250101_INTRDY_x.csv"
+    assert found == {
+        "1": (None, "2", False, "P1", name), "2": ("3", "4", True, "P1", name), "3": (None, None, True, "P1", name),
+    }
