@@ -199,9 +199,19 @@ def sg_gold(spark: SparkSession, sf: str) -> DataFrame:
     return O.gold_sg(sg_silver(spark, sf), t.locations(spark, sf))
 
 
+def _all_points(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Facts of OA and NN with equal rows, which ``merge_gold`` makes one."""
+    pipes = t.pipes(spark, sf)
+    return [
+        O.gold_oa(O.point_silver(t.oa_raw(spark, sf), pipes, "Loc", repeats=True)),
+        O.gold_nn(O.point_silver(t.nn_raw(spark, sf), pipes, "Loc_Prop", repeats=True)),
+    ]
+
+
 def gold_merge(spark: SparkSession, sf: str) -> DataFrame:
+    segments = O.segment_silver(t.sg_raw(spark, sf), t.pipes(spark, sf), repeats=True)
     return O.merge_gold(
-        oa_gold(spark, sf), nn_gold(spark, sf), sg_gold(spark, sf), run_ts=t.RUN_TS
+        *_all_points(spark, sf), O.gold_sg(segments, t.locations(spark, sf)), run_ts=t.RUN_TS
     )
 
 
@@ -268,7 +278,7 @@ def upsert_locations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _point_gold(spark: SparkSession, sf: str) -> DataFrame:
-    return O.merge_gold(oa_gold(spark, sf), nn_gold(spark, sf), run_ts=t.RUN_TS)
+    return O.merge_gold(*_all_points(spark, sf), run_ts=t.RUN_TS)
 
 
 def _posted_again(gold: DataFrame) -> DataFrame:

@@ -23,23 +23,25 @@ def well_formed(raw: DataFrame) -> DataFrame:
     return raw.where(~F.coalesce("TooWide", F.lit(False))) if "TooWide" in raw.columns else raw
 
 
-def point_silver(raw: DataFrame, pipes: DataFrame, loc_col: str) -> DataFrame:
+def point_silver(raw: DataFrame, pipes: DataFrame, loc_col: str, repeats: bool = False) -> DataFrame:
     """OA (``Loc``) or NN (``Loc_Prop``) rows with ``GFLocID`` and ``PipeName``.
 
     Rows of unknown pipes and rows whose location starts with a sign are left
     out; ``point_rejects`` lists them. The pipe table has three-digit ids, so
     Spark broadcasts it by its own size check; nothing is shuffled but the
-    distinct, which combines equal rows before it does.
+    distinct, which combines equal rows before it does. With ``repeats`` equal rows
+    stay, for a caller that makes what it derives from them distinct: each row then
+    crosses the network once, not twice.
     """
-    return (
+    rows = (
         well_formed(raw)
         .where(~F.coalesce(signed(F.col(loc_col)), F.lit(False)))
         .join(pipes_of(pipes), "PipeCode", "inner")
         .withColumn(loc_col, strip(F.col(loc_col)))
         .withColumn("GFLocID", gf_loc_id(F.col("GFPipeID"), F.col(loc_col)))
         .drop("GFPipeID", *_LANDING_COLUMNS)
-        .distinct()
     )
+    return rows if repeats else rows.distinct()
 
 
 def measure(df: DataFrame, name: str) -> Column:
@@ -48,12 +50,12 @@ def measure(df: DataFrame, name: str) -> Column:
     return number(column) if df.schema[name].dataType.typeName() == "string" else column.cast("double")
 
 
-def segment_silver(raw: DataFrame, pipes: DataFrame) -> DataFrame:
-    """SG rows with ``GFPipeID`` in place of the pipe's code."""
-    return (
+def segment_silver(raw: DataFrame, pipes: DataFrame, repeats: bool = False) -> DataFrame:
+    """SG rows with ``GFPipeID`` in place of the pipe's code; ``repeats`` as in ``point_silver``."""
+    rows = (
         well_formed(raw)
         .join(pipes_of(pipes), "PipeCode", "inner")
         .withColumns({name: measure(raw, name) for name in ["Cap", "Nom", "Cap2"]})
         .drop("PipeName", *_LANDING_COLUMNS)
-        .distinct()
     )
+    return rows if repeats else rows.distinct()

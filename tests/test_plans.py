@@ -108,3 +108,9 @@ def test_a_record_is_split_once_and_each_field_is_looked_at_once(spark, tmp_path
     assert found == {
         "1": (None, "2", False, "P1", name), "2": ("3", "4", True, "P1", name), "3": (None, None, True, "P1", name),
     }
+
+
+def test_merged_facts_are_made_distinct_once(spark):
+    """Silver rows of facts that become distinct anyway do not cross the network for it."""
+    text = queries()["gold_merge"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate [") == 1
