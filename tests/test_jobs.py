@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -207,6 +208,46 @@ def test_a_batch_with_part_of_a_day_keeps_the_rest_of_it(spark, tmp_path, pipes)
     assert gold_rows(spark, tables, date(2026, 1, 6)) == [("OA", "0010000007", 11.0, "R")]
 
 
+def test_a_stream_rebuilds_a_day_once_however_many_batches_touch_it(spark, tmp_path, pipes, monkeypatch):
+    module = importlib.import_module("linepack.streaming.ingest")
+    rebuilt, failing = [], []
+    really, run_audit = module.rebuild_slices, module.write_audit
+
+    def rebuild(spark, touched, *rest):
+        rebuilt.append(sorted({row.GasDay for days in touched.values() for row in days.collect()}))
+        really(spark, touched, *rest)
+
+    def audit(*args):
+        if failing and next(iter(args[0].values())).where("Loc = '9'").count():
+            raise RuntimeError("audit")
+        return run_audit(*args)
+
+    monkeypatch.setattr(module, "rebuild_slices", rebuild)
+    monkeypatch.setattr(module, "write_audit", audit)
+    tables, stream = plans.Tables(new_folder(spark, "tables")), new_folder(spark, "stream")
+    folder, day = tmp_path / "OA", date(2026, 1, 5)
+    folder.mkdir()
+
+    def post(name, loc):
+        (folder / f"P1_OA_20260105_{name}.csv").write_text("\n".join([",".join(OA_RAW), oa_line("01-05-2026", loc, "20")]) + "\n")
+
+    def ingest():
+        streaming.ingest(spark, {"OA": str(folder)}, pipes, tables, "Parent", stream, run_ts=RUN_TS, files_per_batch=1)
+
+    post("A1", "1")
+    post("A2", "2")
+    ingest()
+    assert rebuilt == [[day]] and len(gold_rows(spark, tables, day)) == 2
+    failing.append(True)
+    post("B", "9")
+    with pytest.raises(Exception):
+        ingest()
+    assert len(rebuilt) == 1  # nothing was waiting
+    failing.clear()
+    ingest()
+    assert len(rebuilt) == 2 and len(gold_rows(spark, tables, day)) == 3
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     class Conf:
         def get(self, key, default):
