@@ -95,6 +95,17 @@ def test_profiling_hashes_and_never_sorts_lines(spark, tmp_path):
     assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
 
 
+def test_profiling_decodes_a_name_per_file_not_per_line(spark, tmp_path):
+    from linepack import sources
+
+    (tmp_path / "P1_OA_1.csv").write_text("Loc\n1\n")
+    (tmp_path / "notes.txt").write_text("Loc\n1\n")
+    files = sources.profile(spark, str(tmp_path))
+    above, below = files._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
+    assert "UrlCodec" in above and "UrlCodec" not in below
+    assert [(r.name, r.lines) for r in files.collect()] == [("P1_OA_1.csv", 2)]
+
+
 def test_a_record_is_split_once_and_each_field_is_looked_at_once(spark, tmp_path):
     from linepack import sources
 
