@@ -46,10 +46,11 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point capacity: a posting per line item, some posted for several cycles or twice."""
-    return shipped(spark, sf_dir).selectExpr(
-        """explode(CASE l_linenumber WHEN 1 THEN array('Timely', 'Evening')
-                                     WHEN 2 THEN array('Timely', 'Timely')
-                                     ELSE array('Timely') END) AS Cycle_Desc""",
+    # The text is made before rows are doubled: once for each line item, not for each posting of it.
+    rows = shipped(spark, sf_dir).selectExpr(
+        """CASE l_linenumber WHEN 1 THEN array('Timely', 'Evening')
+                             WHEN 2 THEN array('Timely', 'Timely')
+                             ELSE array('Timely') END AS cycles""",
         "date_format(l_shipdate, 'MM-dd-yyyy') AS Post_Date",
         """CASE l_orderkey % 1000 WHEN 999 THEN 'not posted' WHEN 998 THEN NULL
                 ELSE date_format(l_shipdate, 'MM-dd-yyyy') END AS Eff_Gas_Day""",
@@ -77,6 +78,7 @@ def oa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('0', s_nationkey) AS TSP",
         "CASE WHEN s_suppkey % 50 = 49 THEN 'ZZ' ELSE concat('P', s_nationkey) END AS PipeCode",
     )
+    return rows.selectExpr("explode(cycles) AS Cycle_Desc", *rows.columns[1:])
 
 
 def nn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

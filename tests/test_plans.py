@@ -125,3 +125,11 @@ def test_merged_facts_are_made_distinct_once(spark):
     """Silver rows of facts that become distinct anyway do not cross the network for it."""
     text = queries()["gold_merge"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Aggregate [") == 1
+
+
+def test_posted_text_is_made_before_rows_are_doubled(spark):
+    from catalogue import testbed
+
+    text = testbed.oa_raw(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("Generate", 1)
+    assert "format_number" not in above and "format_number" in below
