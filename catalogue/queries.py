@@ -243,21 +243,22 @@ def meta_changes(spark: SparkSession, sf: str) -> DataFrame:
     return O.meta_changes(t.meta_raw(spark, sf), t.stored_meta(spark, sf), t.RUN_DAY, t.PARENT)
 
 
-def _new_points(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
-    silver = {fixed.OA: oa_silver, fixed.NN: nn_silver}[dataset](spark, sf)
+def _new_points(spark: SparkSession, sf: str, silver: DataFrame) -> DataFrame:
     return O.new_point_locations(
         silver, t.locations(spark, sf), meta_enrichment(spark, sf), t.RUN_TS
     )
 
 
 def new_point_locations(spark: SparkSession, sf: str) -> DataFrame:
-    return _new_points(spark, sf, fixed.OA).unionByName(_new_points(spark, sf, fixed.NN))
+    return _new_points(spark, sf, oa_silver(spark, sf)).unionByName(_new_points(spark, sf, nn_silver(spark, sf)))
+
+
+def _new_segments(spark: SparkSession, sf: str, silver: DataFrame) -> DataFrame:
+    return O.new_segment_locations(silver, t.locations(spark, sf), t.pipes(spark, sf), t.RUN_TS)
 
 
 def new_segment_locations(spark: SparkSession, sf: str) -> DataFrame:
-    return O.new_segment_locations(
-        sg_silver(spark, sf), t.locations(spark, sf), t.pipes(spark, sf), t.RUN_TS
-    )
+    return _new_segments(spark, sf, sg_silver(spark, sf))
 
 
 def upsert_locations(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,31 +370,43 @@ def audit_raw_files(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
-def _silver_counts(spark: SparkSession, sf: str) -> DataFrame:
-    path = new_folder(spark, "silver")
-    parts = []
-    for dataset, make in {fixed.OA: oa_silver, fixed.NN: nn_silver, fixed.SG: sg_silver}.items():
+_SILVER: dict[str, Query] = {fixed.OA: oa_silver, fixed.NN: nn_silver, fixed.SG: sg_silver}
+
+
+def _written_silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    path, written = new_folder(spark, "silver"), {}
+    for dataset, make in _SILVER.items():
         sinks.write_silver(make(spark, sf), path, dataset, "run1")
-        rows = sinks.read_silver(spark, path, dataset).withColumn("Dataset", F.lit(dataset))
-        parts.append(O.silver_counts(rows))
-    return O.union_by_name(*parts)
+        written[dataset] = sinks.read_silver(spark, path, dataset)
+    return written
 
 
-def audit_silver_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver_counts(spark, sf).drop("silver_files")
+def _silver_counts(silver: dict[str, DataFrame]) -> DataFrame:
+    return O.union_by_name(*[
+        O.silver_counts(rows.withColumn("Dataset", F.lit(dataset))) for dataset, rows in silver.items()
+    ])
 
 
-def audit_new_locations(spark: SparkSession, sf: str) -> DataFrame:
+def _location_counts(spark: SparkSession, sf: str, silver: dict[str, DataFrame]) -> DataFrame:
     return O.new_location_counts({
-        fixed.OA: _new_points(spark, sf, fixed.OA),
-        fixed.NN: _new_points(spark, sf, fixed.NN),
-        fixed.SG: new_segment_locations(spark, sf),
+        dataset: (_new_segments if dataset == fixed.SG else _new_points)(spark, sf, rows)
+        for dataset, rows in silver.items()
     })
 
 
+def audit_silver_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver_counts(_written_silver(spark, sf)).drop("silver_files")
+
+
+def audit_new_locations(spark: SparkSession, sf: str) -> DataFrame:
+    return _location_counts(spark, sf, {dataset: make(spark, sf) for dataset, make in _SILVER.items()})
+
+
 def audit_dataset_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """New locations are found in the written silver, as a run does, not in silver made a second time."""
+    silver = _written_silver(spark, sf)
     return O.dataset_detail(
-        audit_raw_counts(spark, sf), _silver_counts(spark, sf), audit_new_locations(spark, sf)
+        audit_raw_counts(spark, sf), _silver_counts(silver), _location_counts(spark, sf, silver)
     ).drop("silver_files")
 
 

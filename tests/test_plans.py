@@ -133,3 +133,8 @@ def test_posted_text_is_made_before_rows_are_doubled(spark):
     text = testbed.oa_raw(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     above, below = text.split("Generate", 1)
     assert "format_number" not in above and "format_number" in below
+
+
+def test_the_detail_audit_finds_locations_in_the_written_silver(spark):
+    text = queries()["audit_dataset_detail"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [o_orderkey") == 2  # postings and their counts; silver is not made from orders again
