@@ -2,6 +2,7 @@
 
 from .audit import (
     Reports,
+    counts_of_files,
     dataset_detail,
     failures,
     file_counts,
@@ -50,7 +51,7 @@ __all__ = [
     "cycle_counts", "latest_cycle",
     "current_postings", "newest_postings", "of_files",
     "Reports", "reports",
-    "all_rejects", "all_text", "alphanumeric_names", "conform", "daily_range",
+    "all_rejects", "all_text", "alphanumeric_names", "conform", "counts_of_files", "daily_range",
     "dataset_detail", "drop_all_null", "existing_numbers", "expand_days", "failures",
     "file_counts", "gold_nn", "gold_oa", "gold_sg", "historic_range", "keyed",
     "merge_gold", "meta_changes", "meta_enrichment", "missing_downloads",

@@ -138,3 +138,26 @@ def test_posted_text_is_made_before_rows_are_doubled(spark):
 def test_the_detail_audit_finds_locations_in_the_written_silver(spark):
     text = queries()["audit_dataset_detail"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation [o_orderkey") == 2  # postings and their counts; silver is not made from orders again
+
+
+def test_the_audit_of_a_run_counts_its_postings_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from linepack.plans import jobs
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    rows = [("P1", "a.csv"), ("P1", "b.csv"), ("P2", "b.csv"), ("P1", "b.csv"), (None, "c.csv"), ("P2", None)]
+    raw = spark.createDataFrame(rows, "PipeCode string, PostingFile string")
+    raw = raw.withColumn("PipeCode", F.udf(count, "string").asNondeterministic()("PipeCode"))
+    spark.range(3).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    tables = jobs.Tables(str(tmp_path / "installation"))
+    posted = jobs.write_audit({"NN": raw}, {"NN": silver}, {"NN": silver}, tables, "r1")
+    assert {tuple(r) for r in posted.collect()} == {("NN", "P1", 3, 2), ("NN", "P2", 2, 2), ("NN", None, 1, 1)}
+    assert spark.read.parquet(f"{tables.audit}/raw_files").count() == 5
+    assert seen.value == len(rows)
